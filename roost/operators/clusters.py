@@ -16,6 +16,7 @@ from roost.operators.density_spread import spread_labels
 from roost.operators.skew import CHUNK_ROWS, hot_keys, number_rows, split_hot, spread_join
 from roost.params import ClusterParams
 from roost.schemas import CLUSTERED
+from roost.sources.ship import ship_package
 from roost.sources.stage import stage
 
 DEVICE = "device_id"
@@ -94,6 +95,7 @@ def label_by_pack(stops: DataFrame, params: ClusterParams, total: int | None = N
     A pack is a hash slice of the devices with about PACK_STOPS stops, so the
     call overhead does not grow with the number of devices.
     """
+    ship_package(stops.sparkSession)
     if total is None:
         total = stops.count()
     packs = max(-(-total // PACK_STOPS), stops.sparkSession.sparkContext.defaultParallelism)

@@ -183,7 +183,7 @@ def judge(pending: DataFrame, box: DataFrame, eps_m: float) -> DataFrame:
 
     both = pending.join(side("u"), [DEVICE, "u", "uy", "ux"]).join(side("v"), [DEVICE, "v", "vy", "vx"])
     u, v = F.col("u_box"), F.col("v_box")
-    linked = haversine_m(u["site.lat"], u["site.lon"], v["site.lat"], v["site.lon"]) <= F.lit(eps_m)
+    linked = haversine_m(u["site"]["lat"], u["site"]["lon"], v["site"]["lat"], v["site"]["lon"]) <= F.lit(eps_m)
     corners = ("lat0", "lat1", "lon0", "lon1")
     apart = box_gap_m({k: u[k] for k in corners}, {k: v[k] for k in corners}) > F.lit(eps_m)
     return both.where(linked | ~apart).select(

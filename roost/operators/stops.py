@@ -220,7 +220,8 @@ def _neighbour_pings(points: DataFrame) -> DataFrame:
     w = Window.partitionBy(DEVICE).orderBy("chunk")  # one row per chunk
     around = F.array(F.lag("tail").over(w), F.lead("head").over(w))
     return (
-        edges.select(DEVICE, "chunk", F.explode(around).alias("p"))
+        edges.withColumn("around", around)
+        .select(DEVICE, "chunk", F.explode("around").alias("p"))
         .where(F.col("p").isNotNull())
         .select(DEVICE, "p.*", "chunk", F.lit(False).alias("own"))
     )
