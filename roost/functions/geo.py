@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: mean Earth radius in metres.
@@ -119,54 +119,56 @@ class Grid:
 
 # --- polygons ---------------------------------------------------------------
 
-EDGE = "struct<x0:double,y0:double,x1:double,y1:double>"
-
-
-def wkt_edges(wkt) -> Column:
-    """Edges of a POLYGON or MULTIPOLYGON text; NULL if the text is malformed.
+def with_wkt_edges(df: DataFrame, wkt: str, name: str = "edges") -> DataFrame:
+    """Add the edges of a POLYGON or MULTIPOLYGON text; NULL if the text is malformed.
 
     Works on arrays and character classes only, never on a repeated regex
     group, so that outlines of a million vertices parse without deep recursion.
     """
-    text = F.upper(F.regexp_replace(wkt, r"\s+", " "))
     # The shape without numbers: every ring becomes '#', lists shrink to one.
-    shape = F.regexp_replace(F.regexp_replace(text, r"\([^()]*\)", "#"), " ", "")
+    shape = F.regexp_replace(F.regexp_replace("_text", r"\([^()]*\)", "#"), " ", "")
     shape = F.regexp_replace(shape, r"#,(?=#)", "")
     shape = F.regexp_replace(F.regexp_replace(shape, r"\(#\)", "@"), r"@,(?=@)", "")
-    well_formed = shape.isin("POLYGON@", "MULTIPOLYGON(@)")
 
     def point(pair: Column) -> Column:
         xy = F.split(F.trim(pair), " ")
-        return F.struct(
-            F.when(F.size(xy) == 2, xy[0].try_cast("double")).alias("x"),
-            F.when(F.size(xy) == 2, F.get(xy, F.lit(1)).try_cast("double")).alias("y"),
+        return F.when(
+            F.size(xy) == 2,
+            F.struct(
+                F.get(xy, F.lit(0)).try_cast("double").alias("x"),
+                F.get(xy, F.lit(1)).try_cast("double").alias("y"),
+            ),
         )
 
-    rings = F.transform(
-        F.regexp_extract_all(text, F.lit(r"\(([^()]*)\)"), F.lit(1)),
-        lambda ring: F.transform(F.split(ring, ","), point),
-    )
-
     def bad_ring(ring: Column) -> Column:
         return (
             (F.size(ring) < 4)
             | F.exists(ring, lambda p: p["x"].isNull() | p["y"].isNull())
-            | (F.element_at(ring, 1) != F.element_at(ring, -1))
+            | (F.get(ring, F.lit(0)) != F.element_at(ring, -1))
         )
 
-    edges = F.flatten(
-        F.transform(
-            rings,
-            lambda ring: F.zip_with(
-                F.slice(ring, F.lit(1), F.size(ring) - 1),
-                F.slice(ring, F.lit(2), F.size(ring) - 1),
-                lambda p, q: F.struct(
-                    p["x"].alias("x0"), p["y"].alias("y0"), q["x"].alias("x1"), q["y"].alias("y1")
-                ),
-            ),
-        )
+    def ring_edges(ring: Column) -> Column:
+        def edge(p: Column, q: Column) -> Column:
+            return F.struct(
+                p["x"].alias("x0"), p["y"].alias("y0"), q["x"].alias("x1"), q["y"].alias("y1")
+            )
+
+        n = F.size(ring) - 1
+        return F.zip_with(F.slice(ring, F.lit(1), n), F.slice(ring, F.lit(2), n), edge)
+
+    rings = F.transform(
+        F.regexp_extract_all("_text", F.lit(r"\(([^()]*)\)"), F.lit(1)),
+        lambda ring: F.transform(F.split(ring, ","), point),
+    )
+    well_formed = F.col("_shape").isin("POLYGON@", "MULTIPOLYGON(@)")
+    return (
+        df.withColumn("_text", F.upper(F.regexp_replace(wkt, r"\s+", " ")))
+        .withColumn("_shape", shape)
+        .withColumn("_rings", F.when(well_formed, rings))
+        .withColumn("_sound", ~F.exists("_rings", bad_ring))
+        .withColumn(name, F.when(F.col("_sound"), F.flatten(F.transform("_rings", ring_edges))))
+        .drop("_text", "_shape", "_rings", "_sound")
     )
-    return F.when(well_formed & ~F.exists(rings, bad_ring), edges)
 
 
 def inside_edges(edges, lon, lat) -> Column:

@@ -52,14 +52,13 @@ def cluster_stops(
     if not (total or loose):
         total = largest = loose = 0
 
-    known = stops.where(placed)
     parts = []
+    ordinary = stops.where(placed)
     if largest > max_device_stops:
-        hot = hot_keys(known, DEVICE, max_device_stops)
-        known, crowded = split_hot(known, DEVICE, hot)
+        ordinary, crowded = split_hot(ordinary, DEVICE, hot_keys(ordinary, DEVICE, max_device_stops))
         labelled = spread_labels(crowded, params.distance, params.min_points, rows_per_chunk)
         parts.append(stats_by_join(labelled, extra, rows_per_chunk))
-    parts.append(stats_by_device(label_by_pack(known, params, total), extra))
+    parts.append(stats_by_device(label_by_pack(ordinary, params, total), extra))
     if loose:
         # Stops without a device or position are never clustered.
         parts.append(clustered_columns(stops.where(~placed), F.lit(NOISE), F.lit(1), F.col(LAT), F.col(LON), extra))
@@ -89,6 +88,23 @@ def placed_stop() -> Column:
 # --- labels -------------------------------------------------------------------
 
 
+def label_stops(
+    stops: DataFrame,
+    params: ClusterParams = ClusterParams(),
+    max_device_stops: int = MAX_DEVICE_STOPS,
+    rows_per_chunk: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Add a raw cluster number per device (-1 for noise) to stops that have a place."""
+    stops = stops.where(placed_stop())
+    hot = hot_keys(stops, DEVICE, max_device_stops)
+    if hot is None:
+        return label_by_pack(stops, params)
+    ordinary, crowded = split_hot(stops, DEVICE, hot)
+    return label_by_pack(ordinary, params).unionByName(
+        spread_labels(crowded, params.distance, params.min_points, rows_per_chunk)
+    )
+
+
 def label_by_pack(stops: DataFrame, params: ClusterParams, total: int | None = None) -> DataFrame:
     """Add a raw cluster number per device, clustering many devices per Python call.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roost.functions.clock import is_weekend, local_datetime, round_to_bigint, weekday
-from roost.functions.geo import inside_edges, wkt_edges
+from roost.functions.geo import inside_edges, with_wkt_edges
 from roost.schemas import CLUSTERED, LOCAL
 from roost.sources.stage import stage
 from roost.sources.tables import scan_tz_lookup
@@ -63,22 +63,25 @@ def timezone_bands(lookup: DataFrame) -> DataFrame:
 
     Malformed or missing geometry yields no row, so it contains nothing.
     """
-    parsed = lookup.select(F.col("tz").alias("timezone"), wkt_edges("geometry").alias("edges")).where(
-        F.col("edges").isNotNull()
-    )
-    low = F.array_min(F.transform("edges", lambda e: F.least(e["y0"], e["y1"])))
-    high = F.array_max(F.transform("edges", lambda e: F.greatest(e["y0"], e["y1"])))
-    west = F.array_min(F.transform("edges", lambda e: F.least(e["x0"], e["x1"])))
-    east = F.array_max(F.transform("edges", lambda e: F.greatest(e["x0"], e["x1"])))
-    banded = parsed.select(
-        "timezone", "edges", west.alias("west"), east.alias("east"),
-        F.explode(F.sequence(band_of(low), band_of(high))).alias("band"),
+    parsed = with_wkt_edges(lookup.withColumnRenamed("tz", "timezone"), "geometry")
+
+    def reach(pick, axis: str) -> Column:
+        least = pick is F.array_min
+        end = F.least if least else F.greatest
+        return pick(F.transform("edges", lambda e: end(e[f"{axis}0"], e[f"{axis}1"])))
+
+    boxed = parsed.select(
+        "timezone", "edges",
+        reach(F.array_min, "x").alias("west"), reach(F.array_max, "x").alias("east"),
+        reach(F.array_min, "y").alias("south"), reach(F.array_max, "y").alias("north"),
     )
+    # A NULL outline spans no band and disappears here.
+    bands = F.sequence(band_of(F.col("south")), band_of(F.col("north")))
+    banded = boxed.withColumn("band", F.explode(bands))
 
     def crosses(e: Column) -> Column:
-        return band_of(F.least(e["y0"], e["y1"])).eqNullSafe(F.col("band")) | (
-            (band_of(F.least(e["y0"], e["y1"])) <= F.col("band"))
-            & (band_of(F.greatest(e["y0"], e["y1"])) >= F.col("band"))
+        return (band_of(F.least(e["y0"], e["y1"])) <= F.col("band")) & (
+            band_of(F.greatest(e["y0"], e["y1"])) >= F.col("band")
         )
 
     return banded.select("timezone", "band", "west", "east", F.filter("edges", crosses).alias("edges"))

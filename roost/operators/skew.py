@@ -24,8 +24,10 @@ def hot_keys(df: DataFrame, key: str, limit: int) -> DataFrame | None:
     ``rows / limit`` keys can qualify, which bounds the table.
     """
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    hot = stage(counts.where(F.col("n") > limit), "hot-keys")
-    return None if hot.isEmpty() else hot
+    largest = counts.agg(F.max("n")).first()[0]
+    if largest is None or largest <= limit:
+        return None
+    return stage(counts.where(F.col("n") > limit), "hot-keys")
 
 
 def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -46,23 +46,50 @@ def detect_stops(
     windows and both aggregates. Devices with more than ``max_device_pings``
     are cut into chunks of their time line and take a plan of joins instead.
     """
+    ordinary, crowded = by_device_size(pings, max_device_pings)
+    stops = stops_by_device(ordinary, params)
+    if crowded is None:
+        return stops
+    return stops.unionByName(stops_by_chunk(crowded, params, rows_per_chunk))
+
+
+def ping_runs(
+    pings: DataFrame,
+    params: StopParams = StopParams(),
+    max_device_pings: int = MAX_DEVICE_PINGS,
+    rows_per_chunk: int = CHUNK_ROWS,
+) -> DataFrame:
+    """All distinct pings with the next ping, ``stationary``, ``event_start`` and ``event_id``."""
+    ordinary, crowded = by_device_size(pings, max_device_pings)
+    runs = with_runs(ordinary.repartition(DEVICE), [DEVICE], params)
+    if crowded is None:
+        return runs
+    return runs.unionByName(runs_by_chunk(crowded, params, rows_per_chunk).drop("chunk"))
+
+
+def by_device_size(pings: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """(pings of ordinary devices, pings of crowded devices or None)."""
     # A ping without a device belongs to no one's time line and makes no stop.
     pings = pings.select(*PING).where(F.col(DEVICE).isNotNull())
-    hot = hot_keys(pings, DEVICE, max_device_pings)
-    if hot is None:
-        return stops_by_device(pings, params)
-    ordinary, crowded = split_hot(pings, DEVICE, hot)
-    return stops_by_device(ordinary, params).unionByName(
-        stops_by_chunk(crowded, params, rows_per_chunk)
-    )
+    hot = hot_keys(pings, DEVICE, limit)
+    return (pings, None) if hot is None else split_hot(pings, DEVICE, hot)
 
 
 # --- expressions shared by both plans ----------------------------------------
 
 
-def with_next(points: DataFrame, w) -> DataFrame:
-    """Add the next ping's position and time."""
-    return points.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in ORDER])
+def with_next(points: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the next ping's position and time, and drop exact copies.
+
+    Copies are neighbours in this order; the last of them is kept, as it is the
+    one whose next ping is another. So the dedup needs no pass of its own.
+    """
+    w = Window.partitionBy(*keys).orderBy(*ORDER)
+    ahead = points.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in ORDER])
+    copy = F.lit(True)
+    for c in ORDER:
+        copy = copy & F.col(c).eqNullSafe(F.col(f"next_{c}"))
+    return ahead.where(~copy)
 
 
 def distance_to_next() -> Column:
@@ -91,7 +118,7 @@ def with_runs(points: DataFrame, keys: list[str], params: StopParams, counts: Co
     if counts is not None:
         starts = starts & counts
     return (
-        with_next(points, w)
+        with_next(points, keys)
         .withColumn("stationary", stationary_flag(params))
         .withColumn("event_start", F.when(starts, 1).otherwise(0))
         .withColumn(
@@ -134,22 +161,8 @@ STOP_COLUMNS = [
 # --- plan for ordinary devices ------------------------------------------------
 
 
-def distinct_in_order(pings: DataFrame) -> DataFrame:
-    """Exact copies removed, on the sort that the run windows need anyway.
-
-    Only for devices of bounded size: copies meet after the shuffle.
-    """
-    w = Window.partitionBy(DEVICE).orderBy(*ORDER)
-    first = F.row_number().over(w) == 1
-    copy = F.lit(True)
-    for c in ORDER:
-        copy = copy & F.col(c).eqNullSafe(F.lag(c).over(w))
-    return pings.withColumn("_keep", first | ~copy).where("_keep").drop("_keep")
-
-
 def stops_by_device(pings: DataFrame, params: StopParams) -> DataFrame:
-    points = distinct_in_order(pings.repartition(DEVICE))
-    runs = with_runs(points, [DEVICE], params).where("stationary").select(*PING, "event_id")
+    runs = with_runs(pings.repartition(DEVICE), [DEVICE], params).where("stationary").select(*PING, "event_id")
     w = Window.partitionBy(DEVICE, "event_id")
     kept = (
         runs.select(*PING, "event_id", *[c.over(w).alias(n) for c, n in _window_summary()])
@@ -173,38 +186,39 @@ def _window_summary() -> list[tuple[Column, str]]:
 # --- plan for devices too large for one task ----------------------------------
 
 
-def stops_by_chunk(pings: DataFrame, params: StopParams, rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
-    """The same stops, with a device's time line spread over many tasks.
+def runs_by_chunk(pings: DataFrame, params: StopParams, rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
+    """The same runs, with a device's time line spread over many tasks; staged.
 
     Chunks are even slices of (device, time, place). Each gets a copy of the
     ping before and the ping after it, which is all its windows need to know
     about the outside; run numbers continue across chunks by a prefix sum over
-    chunk counts; a run may cover any number of chunks and is summarised by a
-    partial aggregate per task.
+    chunk counts.
     """
     key = [DEVICE, "chunk"]
     points = range_chunks(pings.distinct(), [DEVICE] + ORDER, rows_per_chunk)
-
-    flagged = with_runs(
-        points.withColumn("own", F.lit(True)).unionByName(_neighbour_pings(points)),
-        key, params, counts=F.col("own"),
-    ).where("stationary AND own")
-    local = stage(flagged.select(*PING, "chunk", "event_id"), "stationary")
-
-    # A chunk's last local number is its count of run starts; 0 continues a run.
-    counts = local.groupBy(*key).agg(F.max("event_id").alias("n"))
-    offsets = offsets_before(counts, [DEVICE], "n")
-    numbered = local.join(offsets, key).select(
-        *PING, "chunk", (F.col("event_id") + F.col("offset")).alias("event_id")
+    own = points.withColumn("own", F.lit(True))
+    flagged = with_runs(own.unionByName(_neighbour_pings(points)), key, params, counts=F.col("own"))
+    local = stage(flagged.where("own").drop("own"), "chunk-runs")
+    # A chunk's number 0 continues the last run of the chunks before it.
+    counts = local.groupBy(*key).agg(F.sum("event_start").alias("n"))
+    numbered = local.join(offsets_before(counts, [DEVICE], "n"), key)
+    return stage(
+        numbered.withColumn("event_id", F.col("event_id") + F.col("offset")).select(*local.columns), "runs"
     )
-    runs = stage(numbered, "runs")
 
+
+def stops_by_chunk(pings: DataFrame, params: StopParams, rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
+    """The same stops from chunked runs.
+
+    A run may cover any number of chunks; it is summarised by a partial
+    aggregate per task, and its summary travels back to the chunks it covers,
+    so no join key holds more than a chunk's pings.
+    """
     run = [DEVICE, "event_id"]
-    first = runs.groupBy(*run).agg(*run_summary()).where(lasts(params))
-    # Medians travel to the chunks of their run, so the join key stays small
-    # however long the run is.
-    pieces = runs.select(*run, "chunk").distinct().join(first, run)
-    kept = runs.join(pieces, run + ["chunk"]).where(near_median(params)).select(*PING, "event_id")
+    points = runs_by_chunk(pings, params, rows_per_chunk).where("stationary").select(*PING, "chunk", "event_id")
+    first = points.groupBy(*run).agg(*run_summary()).where(lasts(params))
+    pieces = points.select(*run, "chunk").distinct().join(first, run)
+    kept = points.join(pieces, run + ["chunk"]).where(near_median(params)).select(*PING, "event_id")
     stops = (
         kept.groupBy(*run).agg(*run_summary()).where(lasts(params)).withColumnRenamed("event_id", "stop_id")
     )

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from roost import schemas
 from roost.functions.clock import local_datetime, round_to_bigint, utc_datetime
-from roost.functions.geo import haversine_m, inside_edges, wkt_edges
+from roost.functions.geo import inside_edges, with_wkt_edges
 from roost.operators import clusters, density_spread, homework, localtime, places, stops
+from roost.operators.skew import spread_join
 from roost.params import ClusterParams, HomeWorkParams, StopParams, params_table
 from roost.plans import oracle
 from roost.plans.fixture import COUNTRY, DEFAULT_ZONE
@@ -73,8 +74,7 @@ PAIRS = " ".join(schemas.PAIRS.fieldNames())
 
 
 def runs_of(t: Inputs) -> DataFrame:
-    points = stops.distinct_in_order(t.pings.repartition(stops.DEVICE))
-    return stops.with_runs(points, [stops.DEVICE], STOP)
+    return stops.ping_runs(t.pings, STOP)
 
 
 def run_points(t: Inputs) -> DataFrame:
@@ -87,7 +87,7 @@ def first_stops(t: Inputs) -> DataFrame:
 
 
 def raw_labels(t: Inputs, params: ClusterParams = CLUSTER) -> DataFrame:
-    return clusters.label_by_pack(t.stops, params)
+    return clusters.label_stops(t.stops, params)
 
 
 def by_first_stop(labelled: DataFrame) -> DataFrame:
@@ -366,9 +366,7 @@ def params_bind(t):
 @query("stops", "device_id stop_id start_timestamp end_timestamp median_latitude median_longitude", "first_stops")
 def cte_chain(t):
     return (
-        t.pings.transform(lambda p: p.repartition(stops.DEVICE))
-        .transform(stops.distinct_in_order)
-        .transform(stops.with_runs, [stops.DEVICE], STOP)
+        t.pings.transform(stops.ping_runs, STOP)
         .transform(lambda r: r.where("stationary"))
         .transform(lambda r: r.groupBy("device_id", F.col("event_id").alias("stop_id")).agg(*stops.run_summary()))
         .transform(lambda s: s.where(stops.lasts(STOP)))
@@ -381,7 +379,8 @@ def cte_chain(t):
 @query("stops", PING + " event_id", "near_points")
 def join_outlier_refilter(t):
     first = first_stops(t).withColumnRenamed("stop_id", "event_id")
-    return run_points(t).join(first, ["device_id", "event_id"]).where(stops.near_median(STOP))
+    joined = spread_join(run_points(t), first, ["device_id", "event_id"], stops.ORDER)
+    return joined.where(stops.near_median(STOP))
 
 
 @query("clustered", "device_id stop_events cluster_label", "labelled")
@@ -439,7 +438,8 @@ def join_eps_neighbors(t):
     near = density_spread.sparse_neighbours(sites, pieces, CORE4.distance, CORE4.min_points)
     core = density_spread.core_sites(sites, pieces, near, CORE4.min_points)
     marks = core.select(*density_spread.SITE, F.lit(True).alias("is_core"))
-    joined = t.stops.join(marks, density_spread.SITE, "left")
+    tie = ["start_timestamp", "stop_events"]
+    joined = spread_join(t.stops, marks, density_spread.SITE, tie, "left")
     return joined.withColumn("is_core", F.coalesce("is_core", F.lit(False)))
 
 
@@ -531,8 +531,7 @@ def distinct_places(t):
 
 @query("runs", PING + " next_latitude next_longitude next_timestamp", "ahead")
 def win_lead_ping(t):
-    points = stops.distinct_in_order(t.pings.repartition(stops.DEVICE))
-    return stops.with_next(points, Window.partitionBy(stops.DEVICE).orderBy(*stops.ORDER))
+    return runs_of(t)
 
 
 @query("runs", PING + " stationary event_start", "started")
@@ -670,10 +669,10 @@ def geo_distance(t):
 )
 def geo_within(t):
     """Number of polygons of the country around each stop that is in any."""
-    polygons = tables.scan_tz_lookup(t.tz_codes, COUNTRY).select(wkt_edges("geometry").alias("edges"))
-    # A polygon per nation at most.
+    polygons = with_wkt_edges(tables.scan_tz_lookup(t.tz_codes, COUNTRY), "geometry").select("edges")
+    # A polygon per nation at most; a NULL outline contains nothing.
     inside = t.clustered.join(
-        F.broadcast(polygons.where("edges IS NOT NULL")), inside_edges("edges", "stop_longitude", "stop_latitude")
+        F.broadcast(polygons), inside_edges("edges", "stop_longitude", "stop_latitude")
     )
     return inside.groupBy("uid", "stop_event").agg(F.count("*").alias("polygons"))
 
@@ -685,8 +684,8 @@ def geo_within(t):
       FROM tz_codes z LEFT JOIN (SELECT k, count(*) AS edges FROM edges GROUP BY ALL) e ON z.k = e.k)""",
 )
 def geo_from_wkt_safe(t):
-    edges = wkt_edges("geometry")
-    return t.tz_codes.withColumn("edges", F.when(edges.isNotNull(), F.size(edges).cast("bigint")))
+    parsed = with_wkt_edges(t.tz_codes, "geometry", "outline")
+    return parsed.withColumn("edges", F.when(F.col("outline").isNotNull(), F.size("outline")).cast("bigint"))
 
 
 @query(

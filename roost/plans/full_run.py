@@ -9,7 +9,7 @@ from roost.operators.homework import classify_home_work
 from roost.operators.localtime import localize_stops
 from roost.operators.stops import detect_stops
 from roost.params import CountryParams, country_params
-from roost.schemas import TZ_CODES
+from roost.schemas import CLUSTERED, TZ_CODES
 from roost.sources import tables
 
 STEPS = ("stops", "cluster", "local", "hw")
@@ -25,9 +25,9 @@ def run_steps(
     steps: tuple[str, ...] = STEPS,
     dedup_keys: tuple[str, ...] = ("uid", "stop_event"),
 ) -> DataFrame:
-    """Run the chosen steps and return the country's labelled stops.
+    """Run the chosen steps and return the last one's table (the labelled stops).
 
-    A step left out reads its stored table instead. An explicit ``timezone`` or
+    A step left out is read from its stored table where the next one needs it. An explicit ``timezone`` or
     ``params`` wins over the shipped country settings.
     """
     unknown = set(steps) - set(STEPS)
@@ -36,18 +36,23 @@ def run_steps(
     params = params or country_params(country)
     zone = timezone or params.timezone
 
+    result = None
     if "stops" in steps:
         stops = detect_stops(tables.scan_pings(spark, root, country, year), params.stops)
-        tables.sink_sorted(stops, f"{root}/stops/{country}/{year}", "device_id", "stop_events")
+        path = f"{root}/stops/{country}/{year}"
+        result = tables.sink_clustered(stops, path, "device_id", "stop_events")
     if "cluster" in steps:
         stops = tables.scan_stops_all_years(spark, root, country)
-        clustered = cluster_stops(stops, params.dbscan, dedup_keys).drop("src_year")
-        tables.sink_sorted(clustered, f"{root}/clustered/{country}", "uid", "cluster_label", "start_timestamp")
+        clustered = cluster_stops(stops, params.dbscan, dedup_keys).select(*CLUSTERED.fieldNames())
+        path = f"{root}/clustered/{country}"
+        result = tables.sink_clustered(clustered, path, "uid", "cluster_label", "start_timestamp")
     if "local" in steps:
         clustered = tables.scan_clusters(spark, root, country)
         tz_codes = tables.scan(spark, f"{root}/tz_codes", TZ_CODES)
-        tables.sink_parquet(localize_stops(clustered, tz_codes, country, zone), f"{root}/local/{country}")
+        local = localize_stops(clustered, tz_codes, country, zone)
+        result = tables.sink_parquet(local, f"{root}/local/{country}")
     if "hw" in steps:
         hw = classify_home_work(tables.scan_local(spark, root, country), params.home_work)
-        tables.sink_sorted(hw, f"{root}/hw/{country}", "uid", "year", "date", "start_timestamp")
-    return tables.scan_hw(spark, root, country)
+        path = f"{root}/hw/{country}"
+        result = tables.sink_clustered(hw, path, "uid", "year", "date", "start_timestamp")
+    return tables.scan_hw(spark, root, country) if result is None else result

@@ -57,8 +57,17 @@ def sink_parquet(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sink_clustered(df: DataFrame, path: str, *order: str) -> DataFrame:
+    """Write with the rows of each file in order, keeping the step's own partitioning.
+
+    The steps end partitioned by device, so a device's rows stay together; no
+    further shuffle, and no sampling pass that would compute the step twice.
+    """
+    return sink_parquet(df.sortWithinPartitions(*order), path)
+
+
 def sink_sorted(df: DataFrame, path: str, *order: str) -> DataFrame:
-    """Write files that together are in global order, with no global sort task.
+    """Write a stored table to files that together are in global order, without a global sort task.
 
     Range partitioning gives each task a slice of the order; sorting inside the
     slices finishes it and gives the files narrow min/max statistics. The whole
