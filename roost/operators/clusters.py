@@ -13,7 +13,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from roost.operators.density import NOISE, label_pack
 from roost.operators.density_spread import spread_labels
-from roost.operators.skew import CHUNK_ROWS, hot_keys, number_rows, split_hot, spread_join
+from roost.operators.skew import CHUNK_ROWS, by_key, hot_keys, key_sizes, number_rows, split_hot, spread_join
 from roost.params import ClusterParams
 from roost.schemas import CLUSTERED
 from roost.sources.ship import ship_package
@@ -23,9 +23,11 @@ DEVICE = "device_id"
 LAT, LON = "median_latitude", "median_longitude"
 RAW = "raw_cluster_label"
 
-# Stops of one device that a single task may cluster, and stops per pack.
+# Stops of one device that a single task may cluster; stops per pack; stops per
+# task of the statistics.
 MAX_DEVICE_STOPS = 200_000
 PACK_STOPS = 50_000
+STOPS_PER_TASK = 5_000_000
 
 
 def cluster_stops(
@@ -58,7 +60,10 @@ def cluster_stops(
         ordinary, crowded = split_hot(ordinary, DEVICE, hot_keys(ordinary, DEVICE, max_device_stops))
         labelled = spread_labels(crowded, params.distance, params.min_points, rows_per_chunk)
         parts.append(stats_by_join(labelled, extra, rows_per_chunk))
-    parts.append(stats_by_device(label_by_pack(ordinary, params, total), extra))
+    # One shuffle by device serves all windows and the dedup below; left to
+    # themselves the windows would shuffle once for each set of keys.
+    labelled = by_key(label_by_pack(ordinary, params, total), DEVICE, total, STOPS_PER_TASK)
+    parts.append(stats_by_device(labelled, extra))
     if loose:
         # Stops without a device or position are never clustered.
         parts.append(clustered_columns(stops.where(~placed), F.lit(NOISE), F.lit(1), F.col(LAT), F.col(LON), extra))
@@ -96,24 +101,22 @@ def label_stops(
 ) -> DataFrame:
     """Add a raw cluster number per device (-1 for noise) to stops that have a place."""
     stops = stops.where(placed_stop())
-    hot = hot_keys(stops, DEVICE, max_device_stops)
-    if hot is None:
-        return label_by_pack(stops, params)
-    ordinary, crowded = split_hot(stops, DEVICE, hot)
-    return label_by_pack(ordinary, params).unionByName(
+    total, largest = key_sizes(stops, DEVICE)
+    if largest <= max_device_stops:
+        return label_by_pack(stops, params, total)
+    ordinary, crowded = split_hot(stops, DEVICE, hot_keys(stops, DEVICE, max_device_stops))
+    return label_by_pack(ordinary, params, total).unionByName(
         spread_labels(crowded, params.distance, params.min_points, rows_per_chunk)
     )
 
 
-def label_by_pack(stops: DataFrame, params: ClusterParams, total: int | None = None) -> DataFrame:
+def label_by_pack(stops: DataFrame, params: ClusterParams, total: int) -> DataFrame:
     """Add a raw cluster number per device, clustering many devices per Python call.
 
     A pack is a hash slice of the devices with about PACK_STOPS stops, so the
     call overhead does not grow with the number of devices.
     """
     ship_package(stops.sparkSession)
-    if total is None:
-        total = stops.count()
     packs = max(-(-total // PACK_STOPS), stops.sparkSession.sparkContext.defaultParallelism)
     schema = StructType([*stops.schema.fields, StructField(RAW, LongType())])
     eps_m, min_points = params.distance, params.min_points
@@ -155,7 +158,7 @@ def centroid(c: str) -> Column:
 
 
 def stats_by_device(labelled: DataFrame, extra: list[str] = ()) -> DataFrame:
-    """Labels and statistics by windows that all run on one shuffle by device."""
+    """Labels and statistics of stops that are partitioned by device; no further shuffle."""
     raw = Window.partitionBy(DEVICE, RAW)
     clustered = F.col(RAW) >= 0
     # Noise is ranked apart, so it takes no label.

@@ -17,19 +17,31 @@ from roost.sources.stage import stage
 CHUNK_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, limit: int) -> DataFrame | None:
-    """The keys with more than ``limit`` rows, or None if there is none.
+def key_sizes(df: DataFrame, key: str) -> tuple[int, int]:
+    """(number of rows, rows of the largest key).
 
-    Reads the key column only and counts map-side first. At most
-    ``rows / limit`` keys can qualify, which bounds the table.
+    Reads the key column only, counts map-side first, and brings two numbers
+    to the driver.
     """
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    largest = counts.agg(F.max("n")).first()[0]
-    if largest is None or largest <= limit:
-        return None
+    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
+    return total or 0, largest or 0
+
+
+def hot_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """The keys with more than ``limit`` rows: at most ``rows / limit`` keys."""
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
     return stage(counts.where(F.col("n") > limit), "hot-keys")
 
 
+def by_key(df: DataFrame, key: str, total: int, rows_per_task: int) -> DataFrame:
+    """Repartition by ``key``, in more partitions than configured if the rows ask for it."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    needed = -(-total // rows_per_task)
+    # Without a number, adaptive execution may still merge small partitions.
+    return df.repartition(needed, key) if needed > configured else df.repartition(key)
+
+
 def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys); neither side is shuffled.
 

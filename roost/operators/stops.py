@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from roost.functions.geo import haversine_m
 from roost.operators.skew import (
     CHUNK_ROWS,
+    by_key,
     hot_keys,
+    key_sizes,
     number_rows,
     offsets_before,
     range_chunks,
@@ -30,8 +32,9 @@ ORDER = ["timestamp", "latitude", "longitude"]
 # percentile_approx keeps this many distinct values before it approximates.
 MEDIAN_ACCURACY = 10_000
 
-# Pings of one device that a single task may sort.
+# Pings of one device that a single task may sort, and pings a task should get.
 MAX_DEVICE_PINGS = 5_000_000
+PINGS_PER_TASK = 10_000_000
 
 
 def detect_stops(
@@ -46,8 +49,8 @@ def detect_stops(
     windows and both aggregates. Devices with more than ``max_device_pings``
     are cut into chunks of their time line and take a plan of joins instead.
     """
-    ordinary, crowded = by_device_size(pings, max_device_pings)
-    stops = stops_by_device(ordinary, params)
+    ordinary, crowded, total = by_device_size(pings, max_device_pings)
+    stops = stops_by_device(by_key(ordinary, DEVICE, total, PINGS_PER_TASK), params)
     if crowded is None:
         return stops
     return stops.unionByName(stops_by_chunk(crowded, params, rows_per_chunk))
@@ -60,19 +63,21 @@ def ping_runs(
     rows_per_chunk: int = CHUNK_ROWS,
 ) -> DataFrame:
     """All distinct pings with the next ping, ``stationary``, ``event_start`` and ``event_id``."""
-    ordinary, crowded = by_device_size(pings, max_device_pings)
-    runs = with_runs(ordinary.repartition(DEVICE), [DEVICE], params)
+    ordinary, crowded, total = by_device_size(pings, max_device_pings)
+    runs = with_runs(by_key(ordinary, DEVICE, total, PINGS_PER_TASK), [DEVICE], params)
     if crowded is None:
         return runs
     return runs.unionByName(runs_by_chunk(crowded, params, rows_per_chunk).drop("chunk"))
 
 
-def by_device_size(pings: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
-    """(pings of ordinary devices, pings of crowded devices or None)."""
+def by_device_size(pings: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """(pings of ordinary devices, pings of crowded devices or None, number of pings)."""
     # A ping without a device belongs to no one's time line and makes no stop.
     pings = pings.select(*PING).where(F.col(DEVICE).isNotNull())
-    hot = hot_keys(pings, DEVICE, limit)
-    return (pings, None) if hot is None else split_hot(pings, DEVICE, hot)
+    total, largest = key_sizes(pings, DEVICE)
+    if largest <= limit:
+        return pings, None, total
+    return *split_hot(pings, DEVICE, hot_keys(pings, DEVICE, limit)), total
 
 
 # --- expressions shared by both plans ----------------------------------------
@@ -162,7 +167,8 @@ STOP_COLUMNS = [
 
 
 def stops_by_device(pings: DataFrame, params: StopParams) -> DataFrame:
-    runs = with_runs(pings.repartition(DEVICE), [DEVICE], params).where("stationary").select(*PING, "event_id")
+    """Stops of pings that are partitioned by device; no further shuffle."""
+    runs = with_runs(pings, [DEVICE], params).where("stationary").select(*PING, "event_id")
     w = Window.partitionBy(DEVICE, "event_id")
     kept = (
         runs.select(*PING, "event_id", *[c.over(w).alias(n) for c, n in _window_summary()])

@@ -93,3 +93,15 @@ def test_crowded_devices_give_the_same_clusters(spark, min_points):
     params = ClusterParams(20, min_points)
     split = cluster_stops(df, params, max_device_stops=40, rows_per_chunk=30)
     assert same_rows(cluster_stops(df, params), split)
+
+
+def test_two_shuffles_serve_the_whole_step(spark):
+    df = stops(spark, 0, 4, 300)
+    for conf, value in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(conf, value)
+    try:
+        plan = cluster_stops(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 2

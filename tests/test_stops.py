@@ -4,6 +4,7 @@ import pytest
 from conftest import rows, same_rows
 
 from roost import StopParams, detect_stops
+from roost.operators.skew import by_key
 from roost.operators.stops import by_device_size, ping_runs, stops_by_device
 from roost.schemas import PINGS
 
@@ -86,7 +87,8 @@ def test_crowded_devices_give_the_same_stops(spark, chunk):
     pings = spark.createDataFrame(walk(), PINGS).cache()
     params = StopParams(distance_threshold=20, min_stop_duration=60_000)
     whole = detect_stops(pings, params)
-    ordinary, crowded = by_device_size(pings, 100)
+    ordinary, crowded, total = by_device_size(pings, 100)
+    assert total == ordinary.count() + crowded.count()
     assert rows(crowded.select("device_id").distinct(), "device_id") == [("big",)]
     split = detect_stops(pings, params, max_device_pings=100, rows_per_chunk=chunk)
     assert whole.count() > 10
@@ -117,7 +119,7 @@ def test_one_shuffle_serves_the_whole_step(spark):
     conf = "spark.sql.adaptive.enabled"
     spark.conf.set(conf, "false")
     try:
-        plan = stops_by_device(pings, StopParams())._jdf.queryExecution().executedPlan().toString()
+        plan = stops_by_device(by_key(pings, "device_id", 0, 1), StopParams())._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set(conf, "true")
     assert plan.count("Exchange") == 1
