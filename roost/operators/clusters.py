@@ -87,7 +87,8 @@ def with_seconds(stops: DataFrame, extra: list[str] = ()) -> DataFrame:
 
 
 def placed_stop() -> Column:
-    return F.col(DEVICE).isNotNull() & F.col(LAT).isNotNull() & F.col(LON).isNotNull()
+    known = F.col(DEVICE).isNotNull() & F.col(LAT).isNotNull() & F.col(LON).isNotNull()
+    return known & ~F.isnan(LAT) & ~F.isnan(LON)
 
 
 # --- labels -------------------------------------------------------------------
@@ -153,8 +154,13 @@ def clustered_columns(
     )
 
 
-def centroid(c: str) -> Column:
-    return F.avg(c)
+# Means only order the labels. They are taken in whole units of 1e-9 degree (a
+# tenth of a millimetre) as decimals, so they are the same for any order of rows.
+UNITS_PER_DEG = 1e9
+
+
+def mean_units(c: str) -> Column:
+    return F.avg(F.round(F.col(c) * UNITS_PER_DEG).cast("decimal(20,0)"))
 
 
 def stats_by_device(labelled: DataFrame, extra: list[str] = ()) -> DataFrame:
@@ -167,8 +173,8 @@ def stats_by_device(labelled: DataFrame, extra: list[str] = ()) -> DataFrame:
     )
     ranked = (
         labelled.withColumn("clustered", clustered)
-        .withColumn("centroid_lat", centroid(LAT).over(raw))
-        .withColumn("centroid_lon", centroid(LON).over(raw))
+        .withColumn("centroid_lat", mean_units(LAT).over(raw))
+        .withColumn("centroid_lon", mean_units(LON).over(raw))
         .withColumn("cluster_label", F.when(F.col("clustered"), rank - 1).otherwise(NOISE))
     )
     own = Window.partitionBy(DEVICE, "cluster_label")
@@ -199,7 +205,7 @@ def stats_by_join(labelled: DataFrame, extra: list[str], rows_per_chunk: int) ->
     centroids = stage(
         labelled.where(F.col(RAW) >= 0)
         .groupBy(*raw_key)
-        .agg(centroid(LAT).alias("centroid_lat"), centroid(LON).alias("centroid_lon")),
+        .agg(mean_units(LAT).alias("centroid_lat"), mean_units(LON).alias("centroid_lon")),
         "centroids",
     )
     at = ["centroid_lat", "centroid_lon"]
@@ -210,23 +216,26 @@ def stats_by_join(labelled: DataFrame, extra: list[str], rows_per_chunk: int) ->
         *raw_key, (F.col("position") - 1).alias("cluster_label")
     )
     tie = ["start_timestamp", "stop_events"]
-    rows = stage(spread_join(labelled, labels, raw_key, tie, rows_per_chunk=rows_per_chunk), "relabelled")
+    rows = stage(
+        spread_join(labelled, labels, raw_key, tie, rows_per_chunk=rows_per_chunk, staged=True), "relabelled"
+    )
 
     key = [DEVICE, "cluster_label"]
-    stats = rows.groupBy(*key).agg(F.count("*").alias("n"))
+    sizes = stage(rows.groupBy(*key).agg(F.count("*").alias("n")), "cluster-sizes")
+    stats = sizes
     for c, name in ((LAT, "cluster_latitude"), (LON, "cluster_longitude")):
         numbered = number_rows(rows.select(*key, c), key, [c], "position", rows_per_chunk)
-        n = rows.groupBy(*key).agg(F.count("*").alias("n"))
         middle = F.col("position").isin(F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1)
         # At most two rows per cluster are left, so these joins carry little.
         median = (
-            spread_join(numbered, n, key, ["position"], rows_per_chunk=rows_per_chunk)
+            spread_join(numbered, sizes, key, ["position"], rows_per_chunk=rows_per_chunk)
             .where(middle)
             .groupBy(*key)
             .agg(F.avg(c).alias(name))
         )
         stats = stats.join(median, key)
-    full = spread_join(rows, stage(stats, "cluster-stats"), key, tie, rows_per_chunk=rows_per_chunk)
+    stats = stage(stats, "cluster-stats")
+    full = spread_join(rows, stats, key, tie, rows_per_chunk=rows_per_chunk, staged=True)
     return clustered_columns(
         full, F.col("cluster_label"), F.col("n"), F.col("cluster_latitude"), F.col("cluster_longitude"), extra
     ).unionByName(clustered_columns(noise, F.lit(NOISE), F.lit(1), F.col(LAT), F.col(LON), extra))

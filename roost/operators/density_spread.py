@@ -36,22 +36,24 @@ def spread_labels(
     edges = linked_cells(core, eps_m)
     roots = connected_cells(core.select(*CELL).distinct(), edges, rows_per_chunk)
 
-    core = stage(spread_join(core, roots, CELL, [LAT, LON], rows_per_chunk=rows_per_chunk), "rooted")
+    core = stage(
+        spread_join(core, roots, CELL, [LAT, LON], rows_per_chunk=rows_per_chunk, staged=True), "rooted"
+    )
     earliest = core.groupBy(DEVICE, "root").agg(F.min("first").alias("earliest"))
+    beside = near.join(core.select(*SITE), SITE, "left_anti").join(
+        core.select(DEVICE, F.col(LAT).alias("near_lat"), F.col(LON).alias("near_lon"), "root"),
+        [DEVICE, "near_lat", "near_lon"],
+    )
+    choices = beside.select(*SITE, "root").distinct()
     border = (
-        near.join(core.select(*SITE), SITE, "left_anti")
-        .join(
-            core.select(DEVICE, F.col(LAT).alias("near_lat"), F.col(LON).alias("near_lon"), "root"),
-            [DEVICE, "near_lat", "near_lon"],
-        )
-        .join(earliest, [DEVICE, "root"])
+        spread_join(choices, earliest, [DEVICE, "root"], [LAT, LON], rows_per_chunk=rows_per_chunk)
         .groupBy(*SITE)
         .agg(F.min(F.struct("earliest", "root")).alias("pick"))
         .select(*SITE, F.col("pick.root").alias("root"))
     )
     labels = core.select(*SITE, "root").unionByName(border)
     return spread_join(
-        stops, labels, SITE, ["start_timestamp", "stop_events"], "left", rows_per_chunk
+        stops, labels, SITE, ["start_timestamp", "stop_events"], "left", rows_per_chunk, staged=True
     ).select(*stops.columns, F.coalesce("root", F.lit(-1)).cast("bigint").alias("raw_cluster_label"))
 
 
@@ -220,5 +222,5 @@ def connected_cells(cells: DataFrame, links: DataFrame, rows_per_chunk: int = CH
         if hooked.where("root <> before").isEmpty():
             return roots
         above = hooked.select(DEVICE, F.col("cell").alias("root"), F.col("root").alias("far"))
-        jumped = spread_join(hooked, above, [DEVICE, "root"], ["cell"], rows_per_chunk=rows_per_chunk)
+        jumped = spread_join(hooked, above, [DEVICE, "root"], ["cell"], rows_per_chunk=rows_per_chunk, staged=True)
         roots = stage(jumped.select(*CELL, F.col("far").alias("root")), "roots")

@@ -22,7 +22,7 @@ BAND_DEG = 0.25
 # Edges that may be broadcast (about 50 bytes each).
 MAX_BROADCAST_EDGES = 2_000_000
 
-# Copies of each band when the polygons are too many to broadcast.
+# Least number of copies of each band when the polygons are too many to broadcast.
 BAND_COPIES = 32
 
 
@@ -107,11 +107,11 @@ def with_timezone(
     if edges <= max_broadcast_edges:
         joined = point.join(F.broadcast(bands), inside, "left")
     else:
-        # A city's band holds most stops: spread it over copies of the band.
-        copies = bands.withColumn(
-            "copy", F.explode(F.sequence(F.lit(0), F.lit(BAND_COPIES - 1)))
-        )
-        turn = F.pmod(F.xxhash64("uid", "stop_event", "start_timestamp"), F.lit(BAND_COPIES))
+        # A city's band may hold most stops: spread it over copies of the band.
+        partitions = int(stops.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = max(BAND_COPIES, partitions // 8)
+        copies = bands.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        turn = F.pmod(F.xxhash64("uid", "stop_event", "start_timestamp"), F.lit(n))
         joined = point.withColumn("_turn", turn.cast("int")).join(
             copies, inside & (F.col("_turn") == F.col("copy")), "left"
         )

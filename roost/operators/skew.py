@@ -52,13 +52,17 @@ def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataF
     return df.join(marks, key, "left_anti"), df.join(marks, key, "left_semi")
 
 
-def range_chunks(df: DataFrame, order: list[str], rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
+def range_chunks(
+    df: DataFrame, order: list[str], rows_per_chunk: int = CHUNK_ROWS, staged: bool = False
+) -> DataFrame:
     """Stage the rows with a ``chunk`` number that follows ``order``.
 
     ``order`` should identify a row (ties cannot be split). The numbers are
-    written with the rows, so they cannot change when a task is run again.
+    written with the rows, so they cannot change when a task is run again. The
+    input is read three times (count, sample, rows), so it is staged first
+    unless the caller has done so.
     """
-    source = stage(df, "chunk-input")
+    source = df if staged else stage(df, "chunk-input")
     pieces = max(1, -(-source.count() // rows_per_chunk))
     return stage(
         source.repartitionByRange(pieces, *order).withColumn("chunk", F.spark_partition_id()),
@@ -98,14 +102,16 @@ def spread_join(
     tiebreak: list[str],
     how: str = "inner",
     rows_per_chunk: int = CHUNK_ROWS,
+    staged: bool = False,
 ) -> DataFrame:
     """Join where a key of ``big`` may hold most of its rows.
 
     ``big`` is cut into even chunks; a row of ``small`` is copied once for each
     chunk its key occurs in - one copy for nearly all keys - and the join then
-    runs on key and chunk. Keys are not NULL; ``how`` is ``inner`` or ``left``.
+    runs on key and chunk. Keys are not NULL; ``how`` is ``inner`` or ``left``;
+    ``staged`` says that ``big`` is a stored table.
     """
-    pieces = range_chunks(big, keys + tiebreak, rows_per_chunk)
+    pieces = range_chunks(big, keys + tiebreak, rows_per_chunk, staged)
     where = pieces.select(*keys, "chunk").distinct()
     copies = where.join(small, keys)
     return pieces.join(copies, keys + ["chunk"], how).drop("chunk")

@@ -200,9 +200,11 @@ def scan_table(t):
     return t.spark.table("roost_stops")
 
 
-@query("tz", "country_code tz geometry", "tz_codes WHERE country_code = 'CO'")
+@query("areas", "country_code tz geometry", "tz_codes WHERE country_code = 'CO'")
 def scan_tz_lookup(t):
-    return tables.scan_tz_lookup(t.tz_codes, COUNTRY)
+    path = t.path("root") + "/tz_codes"
+    tables.sink_parquet(t.areas, path)
+    return tables.scan_tz_lookup(tables.scan(t.spark, path, schemas.TZ_CODES), COUNTRY)
 
 
 @query("stops", STOPS, "stops")
@@ -484,8 +486,8 @@ def centroids(labelled: DataFrame) -> DataFrame:
         labelled.where("raw_cluster_label >= 0")
         .groupBy("device_id", "raw_cluster_label")
         .agg(
-            clusters.centroid(clusters.LAT).alias("centroid_lat"),
-            clusters.centroid(clusters.LON).alias("centroid_lon"),
+            (clusters.mean_units(clusters.LAT) / clusters.UNITS_PER_DEG).alias("centroid_lat"),
+            (clusters.mean_units(clusters.LON) / clusters.UNITS_PER_DEG).alias("centroid_lon"),
             F.count("*").alias("cluster_size"),
         )
     )
@@ -678,13 +680,13 @@ def geo_within(t):
 
 
 @query(
-    "tz",
+    "areas",
     "country_code tz geometry edges",
     """(SELECT z.country_code, z.tz, z.geometry, e.edges
       FROM tz_codes z LEFT JOIN (SELECT k, count(*) AS edges FROM edges GROUP BY ALL) e ON z.k = e.k)""",
 )
 def geo_from_wkt_safe(t):
-    parsed = with_wkt_edges(t.tz_codes, "geometry", "outline")
+    parsed = with_wkt_edges(t.areas, "geometry", "outline")
     return parsed.withColumn("edges", F.when(F.col("outline").isNotNull(), F.size("outline")).cast("bigint"))
 
 

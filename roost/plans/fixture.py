@@ -83,12 +83,23 @@ def fixture_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_tz_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A polygon per nation on a 5 x 5 board: plain, with a hole, in two parts,
-    malformed, missing, or overlapping its neighbours."""
+    """A timezone polygon per nation."""
     n = table(spark, sf_dir, "nation")
-    k = F.col("n_nationkey").cast("bigint")
+    return polygons(n.select(F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_regionkey").alias("region")))
+
+
+def fixture_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A polygon per user, in the same form."""
+    users = table(spark, sf_dir, "events").select(F.col("user_id").alias("k")).distinct()
+    return polygons(users.withColumn("region", (F.col("k") % 5).cast("int")))
+
+
+def polygons(keys: DataFrame) -> DataFrame:
+    """A polygon per key on a board five high: plain, with a hole, in two parts,
+    malformed, missing, or overlapping its neighbours."""
+    k = F.col("k")
     south = 45_950_003 + (k % 5) * 300_000  # units of 1e-7 degree
-    west = 740_850_003 - F.floor(k / 5) * 200_000  # degrees west
+    west = 740_850_003 - F.floor(k / 5) % 1000 * 200_000  # degrees west
 
     def deg(v, sign: str = ""):
         frac = F.lpad((v % 10_000_000).cast("string"), 7, "0")
@@ -113,8 +124,8 @@ def fixture_tz_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("POLYGON ("), whole, F.lit(")")))
     )
     zones = F.array(*[F.lit(z) for z in ZONES])
-    return n.select(
+    return keys.select(
         F.when(k % 7 == 6, "MX").otherwise(COUNTRY).alias("country_code"),
-        F.get(zones, F.col("n_regionkey")).alias("tz"),
+        F.get(zones, F.col("region")).alias("tz"),
         wkt.alias("geometry"),
     )

@@ -41,6 +41,10 @@ class Inputs:
     def tz_codes(self) -> DataFrame:
         return fixture.fixture_tz_codes(self.spark, self.sf_dir)
 
+    @cached_property
+    def areas(self) -> DataFrame:
+        return fixture.fixture_areas(self.spark, self.sf_dir)
+
     @cached_property
     def stops(self) -> DataFrame:
         return stage(detect_stops(self.pings), "stops")

@@ -141,11 +141,12 @@ def _ring(w: str, s: str, e: str, n: str) -> str:
     return "'(' || " + " || ', ' || ".join(f"{_deg(x, '-')} || ' ' || {_deg(y)}" for x, y in corners) + " || ')'"
 
 
-TZ_CODES = f"""
+def tz_codes(keys: str) -> str:
+    """Polygons per key, and the edges of those that are well formed."""
+    return f"""
 board AS (
-  SELECT n_nationkey AS k, n_regionkey, 45950003 + (n_nationkey % 5) * 300000 AS s,
-    740850003 - (n_nationkey // 5) * 200000 AS w
-  FROM nation),
+  SELECT k, region, 45950003 + (k % 5) * 300000 AS s, 740850003 - (k // 5) % 1000 * 200000 AS w
+  FROM ({keys})),
 rings AS (
   SELECT *, {_ring('w', 's', 'w - 200000', 's + 300000')} AS whole,
     {_ring('w - 50000', 's + 100000', 'w - 150000', 's + 200000')} AS hole,
@@ -155,7 +156,7 @@ rings AS (
   FROM board),
 tz_codes AS MATERIALIZED (
   SELECT k, CASE WHEN k % 7 = 6 THEN 'MX' ELSE 'CO' END AS country_code,
-    {_ZONE_LIST}[n_regionkey + 1] AS tz,
+    {_ZONE_LIST}[region + 1] AS tz,
     CASE WHEN k % 11 = 10 THEN NULL
          WHEN k % 5 = 1 THEN 'POLYGON (' || whole || ', ' || hole || ')'
          WHEN k % 5 = 2 THEN 'MULTIPOLYGON ((' || lower_part || '), (' || upper_part || '))'
@@ -174,6 +175,10 @@ edges AS MATERIALIZED (
     split_part(p[i + 1], ' ', 1)::DOUBLE AS x1, split_part(p[i + 1], ' ', 2)::DOUBLE AS y1
   FROM (SELECT *, unnest(range(1, len(p))) AS i FROM wkt_rings))"""
 
+
+TZ_CODES = tz_codes("SELECT n_nationkey AS k, n_regionkey AS region FROM nation")
+AREAS = tz_codes("SELECT DISTINCT user_id AS k, user_id % 5 AS region FROM events")
+
 LOCAL = f"""
 hits AS (
   SELECT s.uid, s.stop_event, e.k, any_value(e.tz) AS tz
@@ -258,7 +263,7 @@ LEVELS = {
     "stops": [PINGS, RUNS, STOPS],
     "core4": [PINGS, RUNS, STOPS, dbscan(4, "raw4")],
     "clustered": [PINGS, RUNS, STOPS, CLUSTERED],
-    "tz": [TZ_CODES],
+    "areas": [AREAS],
     "local": [PINGS, RUNS, STOPS, CLUSTERED, TZ_CODES, LOCAL],
     "homes": [PINGS, RUNS, STOPS, CLUSTERED, TZ_CODES, LOCAL, HOMES],
     "works": [PINGS, RUNS, STOPS, CLUSTERED, TZ_CODES, LOCAL, HOMES, WORKS],
