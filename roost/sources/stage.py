@@ -37,4 +37,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write the result once and continue from the written table."""
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "snappy").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stage_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stage`` returned, once nothing reads them any more."""
+    for table in tables:
+        jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(table.stage_path)
+        path.getFileSystem(conf).delete(path, True)

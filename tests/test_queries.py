@@ -7,9 +7,10 @@ import pytest
 from conftest import rows
 
 import __spark_entry__ as entry
+from roost.plans import catalog
 
 SF = Path("/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
