@@ -37,9 +37,9 @@ class ToxicityParams:
     starts: tuple[int, ...] = (4, 5, 6)
     min_rows: int = 4
     folds: int = 5
-    steps: int = 150
-    penalty: float = 1.0
-    threshold: float = 0.5
+    steps: int = 200
+    penalty: float = 0.2
+    threshold: float = 0.35
     seed: int = 11
 
 
