@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roost.llm import bpe, pii, toxicity
+from roost.llm import bpe, jaccard, mixing, pii, toxicity
 from roost.sources.stage import new_path
 
 
@@ -16,11 +16,21 @@ def no_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, toxicity.fit(docs, labels, toxicity.CATEGORIES, params), params)
 
 
+def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that link by shingles, directly or through others, the one of smallest id stays."""
+    return jaccard.one_of_each(docs)
+
+
 def no_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts gives way to the name of its kind."""
     return pii.redact(docs)
 
 
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources of equal weight, counted in characters: documents repeat or go as drawn."""
+    return mixing.mix(docs, mixing.MixParams(size="n_chars"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every whole text as ids, and as the text that those ids decode to."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -28,7 +38,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.decode_documents(encoded, path).drop("text")
 
 
-STAGES = [("toxicity", no_toxic), ("pii", no_pii), ("bpe", tokens)]
+STAGES = [
+    ("toxicity", no_toxic),
+    ("jaccard", no_near_copies),
+    ("pii", no_pii),
+    ("mixing", mixed),
+    ("bpe", tokens),
+]
 
 # The classifier is not expressible in SQL; tests/llm compares the stages with plain versions.
 ORACLE_SQL = None

@@ -7,7 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roost.llm import bpe, langid, pii, toxicity
+from roost.llm import bpe, chat, jaccard, langid, mixing, pii, sql, toxicity, vectors, warc
+
+# Sources weigh the same in the mix; their sizes are counted in characters.
+MIX = mixing.MixParams(size="n_chars")
+CONTROL_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,12 +22,27 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_numbered(table(spark, sf_dir, "documents"), MIX)
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    values = ", ".join(f"({c}L, {t}L, {r!r}, {x!r})" for c, t, r, x in CONTROL_CHAT)
+    control = spark.sql(f"SELECT * FROM VALUES {values} AS t(conv_id, turn, role, text)")
+    return chat.chat_digests(rows.unionByName(control))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), toxicity.CATEGORIES, toxicity.ToxicityParams())
     return toxicity.score_documents(docs, model)
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digests(table(spark, sf_dir, "documents"))
 
@@ -32,8 +51,31 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op5_toxicity, op7_pii, op8_bpe)
-}
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
 
-SQL: dict[str, str] = {}
+
+OPERATORS = (
+    op1_language_id,
+    op3_mixing,
+    op4_chat,
+    op5_toxicity,
+    op6_vectors,
+    op7_pii,
+    op8_bpe,
+    op9_jaccard,
+    op10_warc,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
+
+SQL: dict[str, str] = {
+    "op3_mixing": sql.mixing_sql(MIX.seed, MIX.scale),
+    "op4_chat": sql.chat_sql(),
+    "op6_vectors": sql.VECTORS,
+    "op9_jaccard": sql.JACCARD,
+    "op10_warc": sql.WARC,
+}
