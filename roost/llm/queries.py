@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roost.llm import bpe, chat, jaccard, langid, mixing, pii, sql, toxicity, vectors, warc
+from roost.llm import bpe, chat, jaccard, langid, mixing, outliers, pii, sql, toxicity, vectors, warc
 
 # Sources weigh the same in the mix; their sizes are counted in characters.
 MIX = mixing.MixParams(size="n_chars")
@@ -22,6 +22,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_numbered(table(spark, sf_dir, "documents"), MIX)
 
@@ -61,6 +65,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS = (
     op1_language_id,
+    op2_quality,
     op3_mixing,
     op4_chat,
     op5_toxicity,
