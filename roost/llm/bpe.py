@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -37,8 +38,12 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 NONE = 1 << 62
 PLACE = 32
 MASK = (1 << PLACE) - 1
-CACHED_CHUNKS = 200_000
-CACHED_LENGTH = 48
+CACHED_CHUNKS = 300_000
+# Words up to this many bytes are merged side by side, so many at a time.
+BATCHED_LENGTH = 128
+BATCHED_WORDS = 20_000
+# Characters of text that are split at a time.
+TEXT_CHARS = 2_000_000
 
 
 def byte_letters() -> list[str]:
@@ -68,68 +73,161 @@ class Bpe:
         (split,) = [p for p in file["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.word = regex.compile(split["pattern"]["Regex"])
         letters = byte_letters()
+        self.pairs = np.array([a << 32 | b for a, b in self.merges], dtype=np.int64)
+        order = np.argsort(self.pairs)
+        self.pairs, self.pair_rank = self.pairs[order], order.astype(np.int64)
+        self.merged = np.array([m for _, m in self.merges.values()], dtype=np.int32)
         self.inner = [self.ids[c] for c in letters]
         self.final = [self.ids[c + self.suffix] for c in letters]
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         # Two generations: what was used since the last change, and what was used before it.
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, list[int]] = {s: [i] for s, i in self.special.items()}
         self.older: dict[str, list[int]] = {}
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text. Special tokens are found in the text as it is."""
-        if not any(s in text for s in self.special):
-            return self.encode_plain(text)
-        out: list[int] = []
-        for i, part in enumerate(self.specials.split(text)):
-            if i % 2:
-                out.append(self.special[part])
-            else:
-                out += self.encode_plain(part)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of several texts; chunks not seen lately are merged all at once."""
+        split = [self.chunks(text) for text in texts]
+        unseen = {c for chunks in split for c in chunks if c not in self.cache}
+        if unseen:
+            self.learn(unseen)
+        cache, out = self.cache, []
+        for chunks in split:
+            ids: list[int] = []
+            for chunk in chunks:
+                ids += cache[chunk]
+            out.append(ids)
+        if len(cache) > CACHED_CHUNKS:
+            self.cache, self.older = {s: [i] for s, i in self.special.items()}, cache
         return out
 
-    def encode_plain(self, text: str) -> list[int]:
-        # No word holds white space, and nothing composes or cases across it,
-        # so each stretch between spaces stands for itself.
-        chunks = SPACE_RUN.split(text) if SEPARATORS.search(text) else text.split()
-        out: list[int] = []
-        for chunk in chunks:
-            ids = self.cache.get(chunk)
+    def chunks(self, text: str) -> list[str]:
+        """Stretches between spaces and special tokens.
+
+        No word holds white space, and nothing composes or cases across it,
+        so each stretch stands for itself.
+        """
+        if any(s in text for s in self.special):
+            parts = enumerate(self.specials.split(text))
+            return [c for i, part in parts for c in ([part] if i % 2 else plain_chunks(part))]
+        return plain_chunks(text)
+
+    def learn(self, unseen: set[str]) -> None:
+        """Put the ids of these chunks into the cache."""
+        words, todo = {}, {}
+        for chunk in unseen:
+            ids = self.older.get(chunk)
+            if ids is not None:
+                self.cache[chunk] = ids
+                continue
+            # Case folding is by character: no special form of a final sigma.
+            text = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
+            todo[chunk] = found = self.word.findall(text.lower())
+            words.update(dict.fromkeys(found))
+        short = [w for w in words if len(w) <= BATCHED_LENGTH // 4]
+        words.update(zip(short, self.merge_many(short), strict=True))
+        for word, ids in words.items():
             if ids is None:
-                ids = self.encode_chunk(chunk)
-            out += ids
-        return out
+                words[word] = merge_all(self.symbols(word), self.merges)
+        for chunk, found in todo.items():
+            self.cache[chunk] = words[found[0]] if len(found) == 1 else [i for w in found for i in words[w]]
 
-    def encode_chunk(self, chunk: str) -> list[int]:
-        ids = self.older.get(chunk)
-        if ids is None:
-            ids = self.merge_chunk(chunk)
-        if len(chunk) <= CACHED_LENGTH:
-            if len(self.cache) >= CACHED_CHUNKS:
-                self.cache, self.older = {}, self.cache
-            self.cache[chunk] = ids
-        return ids
-
-    def merge_chunk(self, chunk: str) -> list[int]:
-        # Case folding is by character: no special form of a final sigma.
-        text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        return [i for word in self.word.findall(text) for i in self.encode_word(word)]
-
-    def encode_word(self, word: str) -> list[int]:
+    def symbols(self, word: str) -> list[int]:
         raw = word.encode("utf-8")
-        inner = self.inner
-        symbols = [inner[b] for b in raw]
+        symbols = [self.inner[b] for b in raw]
         symbols[-1] = self.final[raw[-1]]
-        return merge_all(symbols, self.merges) if len(symbols) > 1 else symbols
+        return symbols
+
+    def merge_many(self, words: list[str]) -> list[list[int]]:
+        """Merge many short words side by side: one segment tree per row."""
+        out: list[list[int]] = [[]] * len(words)
+        raw = [w.encode("utf-8") for w in words]
+        lengths = np.array([len(r) for r in raw], dtype=np.int64)
+        leaves = 2
+        while leaves <= BATCHED_LENGTH and len(words):
+            at = np.flatnonzero((lengths <= leaves) & (lengths > (leaves // 2 if leaves > 2 else 0)))
+            for k in range(0, len(at), BATCHED_WORDS):
+                part = at[k : k + BATCHED_WORDS]
+                rows = merge_rows(self, [raw[i] for i in part], lengths[part], leaves)
+                for i, ids in zip(part.tolist(), rows, strict=True):
+                    out[i] = ids
+            leaves *= 2
+        return out
+
+    def pair_ranks(self, a: np.ndarray, b: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Leaf values: rank and place of pairs that can be merged, NONE for others."""
+        key = a.astype(np.int64) << 32 | b
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.pair_rank[at] << PLACE | place, NONE)
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by a space, as the file names no decoder. Unknown ids are skipped."""
         tokens = self.tokens
-        return " ".join([tokens[i] for i in ids if i in tokens])
+        try:
+            return " ".join([tokens[i] for i in ids])
+        except KeyError:
+            return " ".join([tokens[i] for i in ids if i in tokens])
+
+
+def plain_chunks(text: str) -> list[str]:
+    return [c for c in SPACE_RUN.split(text) if c] if SEPARATORS.search(text) else text.split()
+
+
+def merge_rows(bpe: Bpe, raw: list[bytes], lengths: np.ndarray, leaves: int) -> list[list[int]]:
+    """``merge_all`` for words of at most ``leaves`` bytes, row by row in the same arrays."""
+    n = len(raw)
+    symbols = np.full((n, leaves), -1, dtype=np.int32)
+    inside = np.arange(leaves) < lengths[:, None]
+    letters = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    symbols[inside] = np.array(bpe.inner, dtype=np.int32)[letters]
+    rows = np.arange(n)
+    symbols[rows, lengths - 1] = np.array(bpe.final, dtype=np.int32)[[r[-1] for r in raw]]
+
+    tree = np.full((n, 2 * leaves), NONE, dtype=np.int64)
+    place = np.arange(leaves - 1)
+    pairs = bpe.pair_ranks(symbols[:, :-1], symbols[:, 1:], place)
+    tree[:, leaves : 2 * leaves - 1] = np.where(inside[:, 1:], pairs, NONE)
+    k = leaves
+    while k > 1:
+        tree[:, k // 2 : k] = np.minimum(tree[:, k : 2 * k : 2], tree[:, k + 1 : 2 * k : 2])
+        k //= 2
+    after = np.where(np.arange(1, leaves + 1) < lengths[:, None], np.arange(1, leaves + 1), leaves)
+    before = np.tile(np.arange(-1, leaves - 1), (n, 1))
+
+    while len(rows := rows[tree[rows, 1] != NONE]):
+        root = tree[rows, 1]
+        i = root & MASK
+        j = after[rows, i]
+        symbols[rows, i] = bpe.merged[root >> PLACE]
+        symbols[rows, j] = -1
+        k, h = after[rows, j], before[rows, i]
+        after[rows, i] = k
+        tree[rows, leaves + j] = NONE
+        tree[rows, leaves + i] = NONE
+        right, left = np.flatnonzero(k < leaves), np.flatnonzero(h >= 0)
+        r, x, y = rows[right], i[right], k[right]
+        before[r, y] = x
+        tree[r, leaves + x] = bpe.pair_ranks(symbols[r, x], symbols[r, y], x)
+        r, x, y = rows[left], h[left], i[left]
+        tree[r, leaves + x] = bpe.pair_ranks(symbols[r, x], symbols[r, y], x)
+        paths = [(rows, leaves + j), (rows, leaves + i), (r, leaves + x)]
+        for _ in range(leaves.bit_length() - 1):
+            paths = [(r, x >> 1) for r, x in paths]
+            for r, x in paths:
+                tree[r, x] = np.minimum(tree[r, 2 * x], tree[r, 2 * x + 1])
+    left = symbols >= 0
+    flat, ends = symbols[left].tolist(), np.cumsum(left.sum(axis=1)).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 def merge_all(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
     """Merge the leftmost pair of lowest rank until no pair is in ``merges``."""
     n, rank = len(symbols), merges.get
+    if n < 2:
+        return symbols
     row = [NONE if f is None else f[0] | i for i, f in enumerate(map(rank, zip(symbols, symbols[1:])))]  # noqa: B905
     leaves = 1 << (n - 1).bit_length()
     row += [NONE] * (leaves - len(row))
@@ -178,18 +276,35 @@ def vocabulary(path: str) -> Bpe:
     return Bpe(path)
 
 
+def encoded_in_turn(bpe: Bpe, texts: pa.Array) -> Iterator[list[int]]:
+    """Ids of each text, a null one counting as empty; a bounded amount of text is held split."""
+    held, chars = [], 0
+    for text in texts:
+        held.append(text.as_py() or "")
+        chars += len(held[-1])
+        if chars >= TEXT_CHARS:
+            yield from bpe.encode_all(held)
+            held, chars = [], 0
+    yield from bpe.encode_all(held)
+
+
 def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add ``ids`` (array<int>) to every row. A null text counts as empty: no ids.
 
     ``path`` names the vocabulary file on every machine. Whole texts are
     encoded; an input column called like ``ids`` is replaced.
     """
-    return with_arrow(docs, ids, "array<int>", lambda bpe, t: bpe.encode(t or ""), path, text, pa.list_(pa.int32()))
+    return with_arrow(docs, ids, "array<int>", encoded_in_turn, path, text, pa.list_(pa.int32()))
 
 
 def decode_documents(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add ``text``: the decoded ids of every row. Null ids count as none: empty text."""
-    return with_arrow(rows, text, "string", lambda bpe, i: bpe.decode(i or []), path, ids, pa.string())
+
+
+    def decoded(bpe: Bpe, column: pa.Array) -> Iterator[str]:
+        return (bpe.decode(i.as_py() or []) for i in column)
+
+    return with_arrow(rows, text, "string", decoded, path, ids, pa.string())
 
 
 def with_arrow(rows: DataFrame, name: str, kind: str, step, path: str, source: str, arrow: pa.DataType) -> DataFrame:
@@ -199,7 +314,7 @@ def with_arrow(rows: DataFrame, name: str, kind: str, step, path: str, source: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in batches:
-            made = pa.array([step(bpe, x) for x in batch.column(source).to_pylist()], arrow)
+            made = pa.array(list(step(bpe, batch.column(source))), arrow)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [made], [*kept, name])
 
     fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != name])
@@ -216,12 +331,12 @@ def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
+        numbers = {i: str(i) for i in bpe.tokens}
         for batch in batches:
             counts, encoded, decoded = [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = bpe.encode(text or "")
+            for ids in encoded_in_turn(bpe, batch.column("text")):
                 counts.append(len(ids))
-                encoded.append(sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                encoded.append(sha256(" ".join([numbers[i] for i in ids]).encode()).hexdigest())
                 decoded.append(sha256(bpe.decode(ids).encode("utf-8")).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), *(pa.array(x, pa.string()) for x in (encoded, decoded))],
