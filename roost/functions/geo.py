@@ -120,7 +120,7 @@ class Grid:
 # --- polygons ---------------------------------------------------------------
 
 def with_wkt_edges(df: DataFrame, wkt: str, name: str = "edges") -> DataFrame:
-    """Add the edges of a POLYGON or MULTIPOLYGON text; NULL if the text is malformed.
+    """Add the edges of a POLYGON or MULTIPOLYGON text; NULL if the text is malformed or leaves the globe.
 
     Works on arrays and character classes only, never on a repeated regex
     group, so that outlines of a million vertices parse without deep recursion.
@@ -132,18 +132,15 @@ def with_wkt_edges(df: DataFrame, wkt: str, name: str = "edges") -> DataFrame:
 
     def point(pair: Column) -> Column:
         xy = F.split(F.trim(pair), " ")
-        return F.when(
-            F.size(xy) == 2,
-            F.struct(
-                F.get(xy, F.lit(0)).try_cast("double").alias("x"),
-                F.get(xy, F.lit(1)).try_cast("double").alias("y"),
-            ),
-        )
+        x, y = (F.get(xy, F.lit(i)).try_cast("double") for i in (0, 1))
+        # Not a number counts as larger than any, so it is out of range too.
+        on_earth = x.between(-180.0, 180.0) & y.between(-90.0, 90.0)
+        return F.when((F.size(xy) == 2) & on_earth, F.struct(x.alias("x"), y.alias("y")))
 
     def bad_ring(ring: Column) -> Column:
         return (
             (F.size(ring) < 4)
-            | F.exists(ring, lambda p: p["x"].isNull() | p["y"].isNull())
+            | F.exists(ring, lambda p: p.isNull() | p["x"].isNull() | p["y"].isNull())
             | (F.get(ring, F.lit(0)) != F.element_at(ring, -1))
         )
 

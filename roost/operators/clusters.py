@@ -7,6 +7,7 @@ median position.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -46,27 +47,29 @@ def cluster_stops(
     """
     extra = [k for k in dedup_keys if k not in CLUSTERED.fieldNames()]
     stops = with_seconds(stops, extra)
-    placed = placed_stop()
-    sizes = stops.groupBy(DEVICE).agg(
-        F.count_if(placed).alias("placed"), F.count_if(~placed).alias("loose")
-    )
-    total, largest, loose = sizes.agg(F.sum("placed"), F.max("placed"), F.sum("loose")).first()
-    if not (total or loose):
-        total = largest = loose = 0
-
+    owned = F.col(DEVICE).isNotNull()
+    sizes = stops.groupBy(DEVICE).agg(F.count("*").alias("n"))
+    total, largest, loose = sizes.agg(
+        F.sum(F.when(owned, F.col("n"))), F.max(F.when(owned, F.col("n"))), F.sum(F.when(~owned, F.col("n")))
+    ).first()
+    total, largest = total or 0, largest or 0
+
+    # A key's rows may lie on both sides of "has a place", never on both sides
+    # of a device: parts are by device, so that the dedup sees whole keys.
     parts = []
-    ordinary = stops.where(placed)
+    ordinary = stops.where(owned)
     if largest > max_device_stops:
         ordinary, crowded = split_hot(ordinary, DEVICE, hot_keys(ordinary, DEVICE, max_device_stops))
-        labelled = spread_labels(crowded, params.distance, params.min_points, rows_per_chunk)
-        parts.append(stats_by_join(labelled, extra, rows_per_chunk))
+        labelled = spread_labels(crowded.where(placed_stop()), params.distance, params.min_points, rows_per_chunk)
+        unplaced = crowded.where(~placed_stop()).withColumn(RAW, F.lit(NOISE).cast("bigint"))
+        parts.append(stats_by_join(labelled.unionByName(unplaced), extra, rows_per_chunk))
     # One shuffle by device serves all windows and the dedup below; left to
     # themselves the windows would shuffle once for each set of keys.
     labelled = by_key(label_by_pack(ordinary, params, total), DEVICE, total, STOPS_PER_TASK)
     parts.append(stats_by_device(labelled, extra))
     if loose:
-        # Stops without a device or position are never clustered.
-        parts.append(clustered_columns(stops.where(~placed), F.lit(NOISE), F.lit(1), F.col(LAT), F.col(LON), extra))
+        # Stops without a device are never clustered; their keys spread them.
+        parts.append(clustered_columns(stops.where(~owned), F.lit(NOISE), F.lit(1), F.col(LAT), F.col(LON), extra))
     result = [first_per_key(p, dedup_keys).select(*CLUSTERED.fieldNames(), *extra) for p in parts]
     out = result[0]
     for r in result[1:]:
@@ -114,6 +117,7 @@ def label_stops(
 def label_by_pack(stops: DataFrame, params: ClusterParams, total: int) -> DataFrame:
     """Add a raw cluster number per device, clustering many devices per Python call.
 
+    Stops without a position are noise.
     A pack is a hash slice of the devices with about PACK_STOPS stops, so the
     call overhead does not grow with the number of devices.
     """
@@ -123,7 +127,11 @@ def label_by_pack(stops: DataFrame, params: ClusterParams, total: int) -> DataFr
     eps_m, min_points = params.distance, params.min_points
 
     def label(pdf):
-        return pdf.drop(columns="pack").assign(**{RAW: label_pack(pdf, eps_m, min_points)})
+        placed = pdf[[LAT, LON]].notna().all(axis=1).to_numpy()
+        labels = np.full(len(pdf), NOISE, dtype=np.int64)
+        if placed.any():
+            labels[placed] = label_pack(pdf[placed], eps_m, min_points)
+        return pdf.drop(columns="pack").assign(**{RAW: labels})
 
     return (
         stops.withColumn("pack", F.pmod(F.xxhash64(DEVICE), F.lit(packs)))
@@ -160,7 +168,9 @@ UNITS_PER_DEG = 1e9
 
 
 def mean_units(c: str) -> Column:
-    return F.avg(F.round(F.col(c) * UNITS_PER_DEG).cast("decimal(20,0)"))
+    # Noise may have no position; not a number is none either.
+    value = F.when(~F.isnan(c), F.round(F.col(c) * UNITS_PER_DEG))
+    return F.avg(value.cast("decimal(20,0)"))
 
 
 def stats_by_device(labelled: DataFrame, extra: list[str] = ()) -> DataFrame:

@@ -22,6 +22,9 @@ import pandas as pd
 from roost.functions.geo import EARTH_RADIUS_M, Grid
 
 NOISE = -1
+
+# Pairs of sites that are compared at once when two groups are judged.
+TOUCH_PAIRS = 4096
 PAIR_BLOCK = 2_000_000
 
 
@@ -234,32 +237,43 @@ def _components(n: int, a, b) -> np.ndarray:
 
 
 def _touch(s: _Sites, core, a: int, b: int, eps_m: float) -> bool:
-    """Whether two full cells have core sites within eps of each other."""
+    """Whether two full cells have core sites within eps of each other.
+
+    Two groups of sites are near if one site of each is, apart if their
+    bounding boxes are; else the wider one is halved and the halves judged.
+    Few pairs are left to compare, whatever the shape of the groups.
+    """
     sides = []
     for c in (a, b):
         i = np.arange(s.start[c], s.start[c] + s.size[c])
-        i = i[core[i]]
-        sides.append((s.lat[i], s.lon[i]))
-    # Only sites near the other cell's bounding box can matter; boxes shrink
-    # as sites leave, so this is repeated while it helps.
-    while all(len(lat) for lat, _ in sides):
-        kept = [_within_box(*sides[0], *sides[1], eps_m), _within_box(*sides[1], *sides[0], eps_m)]
-        if all(k.all() for k in kept):
-            break
-        sides = [(lat[k], lon[k]) for (lat, lon), k in zip(sides, kept)]
-    (lat_a, lon_a), (lat_b, lon_b) = sides
-    step = max(1, PAIR_BLOCK // max(1, len(lat_b)))
-    return any(
-        (distance_m(lat_a[k : k + step, None], lon_a[k : k + step, None], lat_b, lon_b) <= eps_m).any()
-        for k in range(0, len(lat_a), step)
-    )
-
-
-def _within_box(lat, lon, box_lat, box_lon, eps_m: float):
-    """Sites not farther than eps from the bounding box (never drops a nearer one)."""
-    reach = math.degrees(eps_m / EARTH_RADIUS_M) * (1 + 1e-6)
-    ok_lat = (lat >= box_lat.min() - reach) & (lat <= box_lat.max() + reach)
-    cos = math.cos(math.radians(min(90.0, max(np.abs(lat).max(), np.abs(box_lat).max()) + 2 * reach)))
-    if cos * 90.0 < reach or box_lon.max() - box_lon.min() > 180.0 or abs(lon[0] - box_lon[0]) > 180.0:
-        return ok_lat
-    return ok_lat & (lon >= box_lon.min() - reach / cos) & (lon <= box_lon.max() + reach / cos)
+        sides.append(i[core[i]])
+    open_pairs = [tuple(sides)]
+    while open_pairs:
+        i, j = open_pairs.pop()
+        if not len(i) or not len(j) or _apart(s, i, j, eps_m):
+            continue
+        if _near(s, i[len(i) // 2], j[len(j) // 2], eps_m):
+            return True
+        if len(i) * len(j) <= TOUCH_PAIRS:
+            if _near(s, np.repeat(i, len(j)), np.tile(j, len(i)), eps_m).any():
+                return True
+            continue
+        if len(i) < len(j):
+            i, j = j, i
+        axis = s.lat[i] if np.ptp(s.lat[i]) >= np.ptp(s.lon[i]) else s.lon[i]
+        order = np.argsort(axis, kind="stable")
+        half = len(i) // 2
+        open_pairs += [(i[order[:half]], j), (i[order[half:]], j)]
+    return False
+
+
+def _apart(s: _Sites, i, j, eps_m: float) -> bool:
+    """Whether the bounding boxes of two groups are surely more than eps apart."""
+    lat0, lat1, lon0, lon1 = (f(x[k]) for x in (s.lat, s.lon) for f, k in ((np.min, i), (np.max, i)))
+    lat2, lat3, lon2, lon3 = (f(x[k]) for x in (s.lat, s.lon) for f, k in ((np.min, j), (np.max, j)))
+    north = max(0.0, lat2 - lat1, lat0 - lat3)
+    east = max(0.0, lon2 - lon1, lon0 - lon3)
+    if math.radians(max(lon1, lon3) - min(lon0, lon2)) > 0.01:
+        east = 0.0  # too wide to be taken for flat; the way round the other side may be shorter
+    cos = math.cos(math.radians(max(abs(lat0), abs(lat1), abs(lat2), abs(lat3))))
+    return math.radians(math.hypot(north, east * cos)) * EARTH_RADIUS_M > eps_m * (1 + 1e-5)

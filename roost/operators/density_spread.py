@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roost.functions.geo import Grid, box_gap_m, haversine_m
+from roost.operators.components import connected
 from roost.operators.skew import CHUNK_ROWS, range_chunks, spread_join
-from roost.sources.stage import stage
+from roost.sources.stage import discard, stage
 
 DEVICE = "device_id"
 LAT, LON = "median_latitude", "median_longitude"
@@ -34,7 +35,7 @@ def spread_labels(
     near = stage(sparse_neighbours(sites, pieces, eps_m, min_points), "sparse-neighbours")
     core = stage(core_sites(sites, pieces, near, min_points), "core-sites")
     edges = linked_cells(core, eps_m)
-    roots = connected_cells(core.select(*CELL).distinct(), edges, rows_per_chunk)
+    roots = connected_cells(core.select(*CELL).distinct(), edges)
 
     core = stage(
         spread_join(core, roots, CELL, [LAT, LON], rows_per_chunk=rows_per_chunk, staged=True), "rooted"
@@ -121,8 +122,8 @@ def linked_cells(core: DataFrame, eps_m: float) -> DataFrame:
     row = F.floor(F.col("cell") / F.lit(1 << 32))
     inside_row = (F.col(LAT) + 90.0) / grid.row_deg - row
     column = (F.col(LON) + 180.0) / 360.0 * grid.columns_in(row)
-    sites = core.select(
-        *SITE, "cell", inside_row.alias("fy"), (column - F.floor(column)).alias("fx")
+    sites = stage(
+        core.select(*SITE, "cell", inside_row.alias("fy"), (column - F.floor(column)).alias("fx")), "box-sites"
     )
 
     box = boxes(sites, 0)
@@ -131,7 +132,6 @@ def linked_cells(core: DataFrame, eps_m: float) -> DataFrame:
         box.select(DEVICE, F.col("cell").alias("u"), F.explode(reach).alias("v"))
         .where("u < v")
         .join(box.select(DEVICE, F.col("cell").alias("v")), [DEVICE, "v"])
-        .distinct()
     )
     zero = F.lit(0).cast("bigint")
     pending = pairs.select(
@@ -140,6 +140,12 @@ def linked_cells(core: DataFrame, eps_m: float) -> DataFrame:
     found = []
     for level in range(LAST_LEVEL + 1):
         last = level == LAST_LEVEL
+        if level:
+            # Few cells are still in question: the boxes of the others need not be made.
+            ends = pending.select(DEVICE, F.col("u").alias("cell")).unionByName(pending.select(DEVICE, F.col("v").alias("cell")))
+            fewer = stage(sites.join(ends.distinct(), CELL, "left_semi"), "box-sites")
+            discard(sites)
+            sites = fewer
         judged = stage(judge(pending, boxes(sites, level, by_site=last), eps_m), "judged")
         links = judged.where("linked").select(DEVICE, "u", "v").distinct()
         found.append(links)
@@ -195,32 +201,9 @@ def judge(pending: DataFrame, box: DataFrame, eps_m: float) -> DataFrame:
     )
 
 
-def connected_cells(cells: DataFrame, links: DataFrame, rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
-    """``root``: the smallest cell of each connected component.
-
-    Each round takes the smallest root around a cell and then the root's own
-    root. A cell has at most two dozen links; a root may have any number of
-    cells, hence the spread join.
-    """
-    edges = stage(
-        links.select(DEVICE, "u", "v").unionByName(links.select(DEVICE, F.col("v").alias("u"), F.col("u").alias("v"))),
-        "edges",
+def connected_cells(cells: DataFrame, links: DataFrame) -> DataFrame:
+    """``root``: the smallest cell of each connected component; a cell without links is its own."""
+    roots = connected(links, [DEVICE])
+    return cells.join(roots.withColumnRenamed("node", "cell"), CELL, "left").select(
+        *CELL, F.coalesce("root", "cell").alias("root")
     )
-    roots = stage(cells.select(*CELL, F.col("cell").alias("root")), "roots")
-    while True:
-        around = (
-            edges.join(roots.withColumnRenamed("cell", "v"), [DEVICE, "v"])
-            .groupBy(DEVICE, F.col("u").alias("cell"))
-            .agg(F.min("root").alias("low"))
-        )
-        hooked = stage(
-            roots.join(around, CELL, "left").select(
-                *CELL, F.col("root").alias("before"), F.least("root", "low").alias("root")
-            ),
-            "hooked",
-        )
-        if hooked.where("root <> before").isEmpty():
-            return roots
-        above = hooked.select(DEVICE, F.col("cell").alias("root"), F.col("root").alias("far"))
-        jumped = spread_join(hooked, above, [DEVICE, "root"], ["cell"], rows_per_chunk=rows_per_chunk, staged=True)
-        roots = stage(jumped.select(*CELL, F.col("far").alias("root")), "roots")

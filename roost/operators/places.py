@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from roost.schemas import PAIRS
 
 
-def extract_home_work(hw: DataFrame, keep_unmatched: bool = False, limit: int | None = 1000) -> DataFrame:
+def extract_home_work(hw: DataFrame, keep_unmatched: bool = False, limit: int | None = None) -> DataFrame:
     """Home and work position of each device and year, in that order.
 
-    By default only devices with both places, and the first 1000 rows.
-    ``keep_unmatched=True, limit=None`` returns every home.
+    Only devices with both places, unless ``keep_unmatched`` asks for every
+    home. ``limit`` keeps that many rows, the first by device and year.
     """
     pairs = home_work_pairs(hw)
     if not keep_unmatched:

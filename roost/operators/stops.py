@@ -29,9 +29,6 @@ DEVICE = "device_id"
 PING = ["device_id", "latitude", "longitude", "timestamp"]
 ORDER = ["timestamp", "latitude", "longitude"]
 
-# percentile_approx keeps this many distinct values before it approximates.
-MEDIAN_ACCURACY = 10_000
-
 # Pings of one device that a single task may sort, and pings a task should get.
 MAX_DEVICE_PINGS = 5_000_000
 PINGS_PER_TASK = 10_000_000
@@ -134,14 +131,17 @@ def with_runs(points: DataFrame, keys: list[str], params: StopParams, counts: Co
 
 
 def median_of(c: str) -> Column:
-    """An observed value at the middle rank."""
-    return F.percentile_approx(c, F.lit(0.5), F.lit(MEDIAN_ACCURACY))
+    """The observed value at the middle rank, the lower of two. Exact; it holds the group's distinct values."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {c})")
+
+
+def run_bounds() -> list[Column]:
+    return [F.min("timestamp").alias("start_timestamp"), F.max("timestamp").alias("end_timestamp")]
 
 
 def run_summary() -> list[Column]:
     return [
-        F.min("timestamp").alias("start_timestamp"),
-        F.max("timestamp").alias("end_timestamp"),
+        *run_bounds(),
         median_of("latitude").alias("median_latitude"),
         median_of("longitude").alias("median_longitude"),
     ]
@@ -216,23 +216,41 @@ def runs_by_chunk(pings: DataFrame, params: StopParams, rows_per_chunk: int = CH
 def stops_by_chunk(pings: DataFrame, params: StopParams, rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
     """The same stops from chunked runs.
 
-    A run may cover any number of chunks; it is summarised by a partial
-    aggregate per task, and its summary travels back to the chunks it covers,
-    so no join key holds more than a chunk's pings.
+    A run may cover any number of chunks; its bounds are partial aggregates,
+    its medians come from pings numbered by value across tasks, and its summary
+    travels back to the chunks it covers, so no join key holds more than a
+    chunk's pings.
     """
     run = [DEVICE, "event_id"]
+
+    def summary(pings: DataFrame) -> DataFrame:
+        bounds = pings.groupBy(*run).agg(*run_bounds(), F.count("*").alias("n")).where(lasts(params))
+        return with_medians(stage(pings, "run-pings"), stage(bounds, "run-bounds"), run, rows_per_chunk)
+
     points = runs_by_chunk(pings, params, rows_per_chunk).where("stationary").select(*PING, "chunk", "event_id")
-    first = points.groupBy(*run).agg(*run_summary()).where(lasts(params))
+    first = summary(points)
     pieces = points.select(*run, "chunk").distinct().join(first, run)
     kept = points.join(pieces, run + ["chunk"]).where(near_median(params)).select(*PING, "event_id")
-    stops = (
-        kept.groupBy(*run).agg(*run_summary()).where(lasts(params)).withColumnRenamed("event_id", "stop_id")
-    )
+    stops = summary(kept).withColumnRenamed("event_id", "stop_id")
     return number_rows(
         stops, [DEVICE], ["start_timestamp", "stop_id"], "stop_events", rows_per_chunk
     ).select(*STOP_COLUMNS)
 
 
+def with_medians(points: DataFrame, runs: DataFrame, run: list[str], rows_per_chunk: int) -> DataFrame:
+    """Replace ``n``, the size of each run, by the positions at the middle ranks.
+
+    The wanted rank is part of the join key, so a run of any size is matched once.
+    """
+    out = runs
+    for c in ("latitude", "longitude"):
+        wanted = runs.select(*run, F.floor((F.col("n") + 1) / 2).cast("int").alias("rank"))
+        numbered = number_rows(points.select(*run, c), run, [c], "rank", rows_per_chunk)
+        middle = numbered.withColumn("rank", F.col("rank").cast("int")).join(wanted, [*run, "rank"])
+        out = out.join(middle.select(*run, F.col(c).alias(f"median_{c}")), run)
+    return out.drop("n")
+
+
 def _neighbour_pings(points: DataFrame) -> DataFrame:
     """For each device and chunk: the device's ping just before and just after it."""
     at = F.struct(*ORDER)

@@ -130,7 +130,7 @@ def classify_home_work(t):
 
 @query("pairs", PAIRS, "pairs WHERE work_latitude IS NOT NULL ORDER BY uid, year LIMIT 1000")
 def extract_home_work(t):
-    return places.extract_home_work(t.hw)
+    return places.extract_home_work(t.hw, limit=1000)
 
 
 def stored_root(t: Inputs) -> str:
@@ -498,22 +498,22 @@ def deterministic_labels(labelled: DataFrame) -> DataFrame:
     return centroids(labelled).withColumn("cluster_label", F.dense_rank().over(w) - 1)
 
 
-@query("homes", "uid cluster_label unique_days_visited", "day_counts")
+@query("homes", "uid cluster_label unique_days_visited", "visits")
 def agg_days_visited(t):
     return visits_of(t)
 
 
-@query("homes", "uid cluster_label home_time_visits home_time_unique_days", "home_candidates")
+@query("homes", "uid cluster_label home_time_visits home_time_unique_days", "visits WHERE home_time_visits > 0")
 def agg_home_candidates(t):
     return visits_of(t).where("home_time_visits > 0")
 
 
-@query("works", "uid cluster_label work_time_visits work_time_unique_days", "work_candidates")
+@query("works", "uid cluster_label work_time_visits work_time_unique_days", "visits WHERE work_time_visits > 0")
 def agg_work_candidates(t):
     return visits_of(t).where("work_time_visits > 0")
 
 
-@query("runs", PING, "base")
+@query("runs", PING, "hops")
 def distinct_pings(t):
     return t.pings.select(*stops.PING).distinct()
 
@@ -523,7 +523,7 @@ def distinct_stops(t):
     return t.stops.dropDuplicates()
 
 
-@query("pairs", "uid year home_latitude home_longitude", "pair_homes")
+@query("pairs", "uid year home_latitude home_longitude", "pairs")
 def distinct_places(t):
     return places.distinct_places(t.hw, "H", "home")
 
@@ -531,12 +531,12 @@ def distinct_places(t):
 # --- windows -------------------------------------------------------------------------------------
 
 
-@query("runs", PING + " next_latitude next_longitude next_timestamp", "ahead")
+@query("runs", PING + " next_latitude next_longitude next_timestamp", "hops")
 def win_lead_ping(t):
     return runs_of(t)
 
 
-@query("runs", PING + " stationary event_start", "started")
+@query("runs", PING + " stationary event_start", "numbered")
 def win_lag_flag(t):
     return runs_of(t)
 

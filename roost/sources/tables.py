@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from roost import schemas
 
@@ -25,13 +25,10 @@ def scan_pings(spark: SparkSession, root: str, country: str, year: int) -> DataF
 
 def scan_stops_all_years(spark: SparkSession, root: str, country: str) -> DataFrame:
     """All years' stops of a country, with the year of the export as ``src_year``."""
-    df = (
-        spark.read.schema(schemas.STOPS)
-        .option("recursiveFileLookup", "true")
-        .parquet(f"{root}/stops/{country}")
-    )
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)/[^/]*$", 1)
-    return df.select("*", folder.cast("int").alias("src_year"))
+    found = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/stops/{country}")
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)/[^/]*$", 1).cast("int")
+    dated = found.select("*", folder.alias("src_year"))
+    return schemas.conform(dated, StructType([*schemas.STOPS.fields, StructField("src_year", IntegerType())]))
 
 
 def scan_clusters(spark: SparkSession, root: str, country: str) -> DataFrame:
