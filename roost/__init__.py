@@ -13,7 +13,7 @@ from roost.operators.localtime import localize_stops
 from roost.operators.places import extract_home_work
 from roost.operators.stops import detect_stops
 from roost.params import ClusterParams, CountryParams, HomeWorkParams, StopParams
-from roost.plans.full_run import run_steps
+from roost.plans.full_run import run_countries, run_steps
 
 __all__ = [
     "ClusterParams",
@@ -25,5 +25,6 @@ __all__ = [
     "detect_stops",
     "extract_home_work",
     "localize_stops",
+    "run_countries",
     "run_steps",
 ]

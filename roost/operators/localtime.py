@@ -16,8 +16,9 @@ from roost.sources.stage import stage
 from roost.sources.tables import scan_tz_lookup
 
 # Polygons are sliced into bands of latitude, so that a stop is tested against
-# the edges at its height only.
-BAND_DEG = 0.25
+# the edges at its height only. An outline's edges are short where it is fine,
+# so narrow bands hold few edges and copy few.
+BAND_DEG = 0.02
 
 # Edges that may be broadcast (about 50 bytes each).
 MAX_BROADCAST_EDGES = 2_000_000

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from roost import schemas
 from roost.functions.clock import local_datetime, round_to_bigint, utc_datetime
-from roost.functions.geo import inside_edges, with_wkt_edges
+from roost.functions.geo import with_wkt_edges
 from roost.operators import clusters, density_spread, homework, localtime, places, stops
-from roost.operators.skew import spread_join
+from roost.operators.skew import number_rows, spread_join
 from roost.params import ClusterParams, HomeWorkParams, StopParams, params_table
 from roost.plans import oracle
 from roost.plans.fixture import COUNTRY, DEFAULT_ZONE
@@ -92,9 +92,14 @@ def raw_labels(t: Inputs, params: ClusterParams = CLUSTER) -> DataFrame:
 
 def by_first_stop(labelled: DataFrame) -> DataFrame:
     """Replace arbitrary cluster numbers by the cluster's first stop, to compare them."""
-    raw = F.col("raw_cluster_label")
-    first = F.min("stop_events").over(Window.partitionBy("device_id", "raw_cluster_label"))
-    return labelled.withColumn("raw_cluster_label", F.when(raw < 0, -1).otherwise(first))
+    labelled = stage(labelled, "labelled")
+    noise = labelled.where("raw_cluster_label < 0")
+    in_cluster = labelled.where("raw_cluster_label >= 0")
+    key = ["device_id", "raw_cluster_label"]
+    first = in_cluster.groupBy(*key).agg(F.min("stop_events").alias("first_stop"))
+    joined = spread_join(in_cluster, first, key, ["start_timestamp", "stop_events"])
+    named = joined.withColumn("raw_cluster_label", F.col("first_stop")).select(*labelled.columns)
+    return named.unionByName(noise)
 
 
 def visits_of(t: Inputs) -> DataFrame:
@@ -142,7 +147,7 @@ def stored_root(t: Inputs) -> str:
 
 
 @query("hw", HW, "hw")
-def full_run(t):
+def run_pipeline(t):
     from roost.params import CountryParams
 
     params = CountryParams(DEFAULT_ZONE, STOP, CLUSTER, HOME_WORK)
@@ -196,8 +201,12 @@ def scan_hw(t):
 
 @query("stops", STOPS, "stops")
 def scan_table(t):
-    t.stops.createOrReplaceTempView("roost_stops")
-    return t.spark.table("roost_stops")
+    path = t.path("sink")
+    name = "roost_scan_" + path[-8:]
+    tables.sink_table(t.stops, name, path)
+    found = stage(t.spark.table(name), "scanned")
+    t.spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 @query("areas", "country_code tz geometry", "tz_codes WHERE country_code = 'CO'")
@@ -389,7 +398,8 @@ def join_outlier_refilter(t):
 def join_label_back(t):
     raw = stage(raw_labels(t), "raw")
     labels = deterministic_labels(raw).select("device_id", "raw_cluster_label", "cluster_label")
-    joined = raw.join(labels, ["device_id", "raw_cluster_label"], "left")
+    key = ["device_id", "raw_cluster_label"]
+    joined = spread_join(raw, labels, key, ["start_timestamp", "stop_events"], "left", staged=True)
     return joined.withColumn("cluster_label", F.coalesce("cluster_label", F.lit(-1)))
 
 
@@ -478,7 +488,7 @@ def agg_stop(t):
     "(SELECT *, raw_cluster_label AS first_stop FROM cents)",
 )
 def agg_centroid(t):
-    return centroids(by_first_stop(raw_labels(t))).withColumnRenamed("raw_cluster_label", "first_stop")
+    return centroids(raw_labels(t))
 
 
 def centroids(labelled: DataFrame) -> DataFrame:
@@ -489,6 +499,7 @@ def centroids(labelled: DataFrame) -> DataFrame:
             (clusters.mean_units(clusters.LAT) / clusters.UNITS_PER_DEG).alias("centroid_lat"),
             (clusters.mean_units(clusters.LON) / clusters.UNITS_PER_DEG).alias("centroid_lon"),
             F.count("*").alias("cluster_size"),
+            F.min("stop_events").alias("first_stop"),
         )
     )
 
@@ -548,8 +559,7 @@ def win_running_sum(t):
 
 @query("stops", "device_id start_timestamp stop_events", "stops")
 def win_stop_number(t):
-    w = Window.partitionBy("device_id").orderBy("start_timestamp")
-    return t.stops.drop("stop_events").withColumn("stop_events", F.row_number().over(w))
+    return number_rows(t.stops.drop("stop_events"), ["device_id"], ["start_timestamp", "stop_id"], "stop_events")
 
 
 @query("clustered", "device_id stop_events raw_cluster_label", "raw")
@@ -564,20 +574,12 @@ def win_dense_rank(t):
 
 @query("clustered", "uid stop_event cluster_label cluster_counts", "clustered")
 def win_cluster_count(t):
-    w = Window.partitionBy("uid", "cluster_label")
-    size = F.when(F.col("cluster_label") == -1, 1).otherwise(F.count("*").over(w))
-    return t.clustered.withColumn("cluster_counts", size)
+    return clusters.cluster_stops(t.stops, CLUSTER)
 
 
 @query("clustered", "uid stop_event cluster_label cluster_latitude cluster_longitude", "clustered")
 def win_median(t):
-    w = Window.partitionBy("uid", "cluster_label")
-    noise = F.col("cluster_label") == -1
-    out = t.clustered
-    for axis in ("latitude", "longitude"):
-        own = F.col(f"stop_{axis}")
-        out = out.withColumn(f"cluster_{axis}", F.when(noise, own).otherwise(F.percentile(own, F.lit(0.5)).over(w)))
-    return out
+    return clusters.cluster_stops(t.stops, CLUSTER)
 
 
 TWICE = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid, stop_event ORDER BY start_timestamp) AS row_num
@@ -597,7 +599,7 @@ def win_dedup(t):
     "homes",
 )
 def win_home_rank(t):
-    visits = visits_of(t)
+    visits = stage(visits_of(t), "visits")
     best = homework.home_locations(visits, HOME_WORK).withColumnRenamed("home_cluster_label", "cluster_label")
     days = visits.select(*homework.PLACE, "home_time_unique_days")
     return best.join(days, homework.PLACE)
@@ -616,13 +618,12 @@ def win_work_rank(t):
       FROM stops WINDOW w AS (PARTITION BY device_id ORDER BY start_timestamp))""",
 )
 def win_named(t):
-    w = Window.partitionBy("device_id").orderBy("start_timestamp")
-    return t.stops.select(
-        "device_id",
-        "stop_events",
-        F.lag("end_timestamp").over(w).alias("previous_end"),
-        F.lead("start_timestamp").over(w).alias("next_start"),
-    )
+    """Neighbours in time by number: no task needs a device's whole time line."""
+    numbered = stage(number_rows(t.stops, ["device_id"], ["start_timestamp", "stop_id"], "turn"), "numbered")
+    before = numbered.select("device_id", (F.col("turn") + 1).alias("turn"), F.col("end_timestamp").alias("previous_end"))
+    after = numbered.select("device_id", (F.col("turn") - 1).alias("turn"), F.col("start_timestamp").alias("next_start"))
+    at = ["device_id", "turn"]
+    return numbered.join(before, at, "left").join(after, at, "left")
 
 
 # --- sorts, limits, top-k, set operations -----------------------------------------------------------
@@ -671,11 +672,8 @@ def geo_distance(t):
 )
 def geo_within(t):
     """Number of polygons of the country around each stop that is in any."""
-    polygons = with_wkt_edges(tables.scan_tz_lookup(t.tz_codes, COUNTRY), "geometry").select("edges")
-    # A polygon per nation at most; a NULL outline contains nothing.
-    inside = t.clustered.join(
-        F.broadcast(polygons), inside_edges("edges", "stop_longitude", "stop_latitude")
-    )
+    lookup = tables.scan_tz_lookup(t.tz_codes, COUNTRY)
+    inside = localtime.with_timezone(t.clustered, lookup).where("timezone IS NOT NULL")
     return inside.groupBy("uid", "stop_event").agg(F.count("*").alias("polygons"))
 
 

@@ -11,6 +11,7 @@ from roost.operators.stops import detect_stops
 from roost.params import CountryParams, country_params
 from roost.schemas import CLUSTERED, TZ_CODES
 from roost.sources import tables
+from roost.sources.stage import discard, stage
 
 STEPS = ("stops", "cluster", "local", "hw")
 
@@ -24,16 +25,24 @@ def run_steps(
     timezone: str | None = None,
     steps: tuple[str, ...] = STEPS,
     dedup_keys: tuple[str, ...] = ("uid", "stop_event"),
+    config_json: str | None = None,
+    database: str | None = None,
 ) -> DataFrame:
     """Run the chosen steps and return the last one's table (the labelled stops).
 
-    A step left out is read from its stored table where the next one needs it. An explicit ``timezone`` or
-    ``params`` wins over the shipped country settings.
+    A step left out is read from its stored table where the next one needs it.
+    An explicit ``timezone`` or ``params`` wins over the settings of
+    ``config_json``, those over the shipped ones. With a ``database`` the
+    localized and the labelled stops get names there: ``<country>_local`` and
+    ``<country>_hw``.
+
+    Files of stops are by device, each in order; those of clustered and
+    labelled stops are in order as a whole.
     """
     unknown = set(steps) - set(STEPS)
     if unknown:
         raise ValueError(f"unknown steps: {sorted(unknown)}")
-    params = params or country_params(country)
+    params = params or country_params(country, config_json)
     zone = timezone or params.timezone
 
     result = None
@@ -45,14 +54,34 @@ def run_steps(
         stops = tables.scan_stops_all_years(spark, root, country)
         clustered = cluster_stops(stops, params.dbscan, dedup_keys).select(*CLUSTERED.fieldNames())
         path = f"{root}/clustered/{country}"
-        result = tables.sink_clustered(clustered, path, "uid", "cluster_label", "start_timestamp")
+        result = in_order(clustered, path, "uid", "cluster_label", "start_timestamp")
     if "local" in steps:
         clustered = tables.scan_clusters(spark, root, country)
         tz_codes = tables.scan(spark, f"{root}/tz_codes", TZ_CODES)
         local = localize_stops(clustered, tz_codes, country, zone)
         result = tables.sink_parquet(local, f"{root}/local/{country}")
+        if database:
+            tables.name_table(spark, f"{database}.{country}_local", f"{root}/local/{country}")
     if "hw" in steps:
         hw = classify_home_work(tables.scan_local(spark, root, country), params.home_work)
         path = f"{root}/hw/{country}"
-        result = tables.sink_clustered(hw, path, "uid", "year", "date", "start_timestamp")
+        result = in_order(hw, path, "uid", "year", "date", "start_timestamp")
+        if database:
+            tables.name_table(spark, f"{database}.{country}_hw", path)
     return tables.scan_hw(spark, root, country) if result is None else result
+
+
+def in_order(df: DataFrame, path: str, *order: str) -> DataFrame:
+    """Store in global order; the step runs once, the sampling reads its staged rows."""
+    staged = stage(df, "unsorted")
+    out = tables.sink_sorted(staged, path, *order)
+    discard(staged)
+    return out
+
+
+def run_countries(
+    spark: SparkSession, root: str, countries: tuple[str, ...], year: int, config_json: str | None = None, **options
+) -> dict[str, DataFrame]:
+    """The full run for several countries, each with its own parameters of the configuration."""
+    settings = {c: country_params(c, config_json) for c in countries}  # a missing country is found before any work
+    return {c: run_steps(spark, root, c, year, params, **options) for c, params in settings.items()}

@@ -57,7 +57,7 @@ def sink_parquet(df: DataFrame, path: str) -> DataFrame:
 def sink_clustered(df: DataFrame, path: str, *order: str) -> DataFrame:
     """Write with the rows of each file in order, keeping the step's own partitioning.
 
-    The steps end partitioned by device, so a device's rows stay together; no
+    For steps that end partitioned by device, whose rows stay together; no
     further shuffle, and no sampling pass that would compute the step twice.
     """
     return sink_parquet(df.sortWithinPartitions(*order), path)
@@ -68,11 +68,18 @@ def sink_sorted(df: DataFrame, path: str, *order: str) -> DataFrame:
 
     Range partitioning gives each task a slice of the order; sorting inside the
     slices finishes it and gives the files narrow min/max statistics. The whole
-    order is the range key, so one frequent leading value is split too.
+    order is the range key, so one frequent leading value is split too. Spark
+    samples the input first: pass a stored table.
     """
     return sink_parquet(df.repartitionByRange(*order).sortWithinPartitions(*order), path)
 
 
+def name_table(spark: SparkSession, name: str, path: str) -> None:
+    """Give a stored folder a name in the catalog; the name moves if it was another folder's."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path, source="parquet")
+
+
 def sink_table(df: DataFrame, name: str, path: str) -> DataFrame:
     """Save as a named table over ``path``; a rerun replaces it rather than appending."""
     df.write.mode("overwrite").option("path", path).option("compression", "snappy").saveAsTable(name)

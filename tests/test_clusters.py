@@ -105,3 +105,23 @@ def test_two_shuffles_serve_the_whole_step(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange") == 2
+
+
+@pytest.mark.parametrize("limit", [100, 2])
+def test_a_key_with_and_without_a_place_is_one_row(spark, limit):
+    placed, nowhere = stops(spark, 0, 1, 2, 3), stops(spark, None)
+    df = cluster_stops(placed.union(nowhere), max_device_stops=limit, rows_per_chunk=2)
+    assert rows(df, "uid", "stop_event") == [("a", 1), ("a", 2), ("a", 3), ("a", 4)]
+    other = cluster_stops(stops(spark, 0, 1, 2, 3).union(stops(spark, None, 5, device="b")), max_device_stops=limit, rows_per_chunk=2)
+    assert rows(other, "uid", "stop_event")[-2:] == [("b", 1), ("b", 2)]
+
+
+def test_a_bent_chain_takes_few_rounds(spark):
+    from roost.operators.components import connected
+
+    n = 1000
+    ids = [i if i < n // 2 else 3 * n - 2 * i for i in range(n)]  # an arch: small numbers on one leg only
+    links = spark.createDataFrame([("a", *sorted(p)) for p in zip(ids, ids[1:], strict=False)], "device_id string, u long, v long")
+    found = connected(links, ["device_id"])
+    assert found.rounds <= 20
+    assert found.select("root").distinct().count() == 1 and found.count() == len(set(ids))

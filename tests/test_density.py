@@ -119,3 +119,18 @@ def test_wider_eps_adds_no_noise():
 
 def test_empty_pack():
     assert len(label_pack(frame("a", [], []), 20.0, 2)) == 0
+
+
+def test_slanted_lines_just_apart_are_quick():
+    """Two full cells whose boxes overlap all along, but no two sites of which are near."""
+    import time
+
+    n, metre = 32_000, 1 / 111_194.9
+    t = np.linspace(0, 60 * metre, n)
+    gap = 20.3 * metre / 2**0.5
+    lat, lon = np.concatenate([t, t - gap]), np.concatenate([t, t + gap])
+    pdf = frame(np.zeros(2 * n, dtype=int), lat, lon)
+    start = time.perf_counter()
+    labels = label_pack(pdf, 20.0, 2)
+    assert time.perf_counter() - start < 10
+    assert len(set(labels.tolist())) == 2

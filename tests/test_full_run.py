@@ -3,10 +3,10 @@ import json
 import pytest
 from conftest import rows
 
-from roost import run_steps
+from roost import run_countries, run_steps
 from roost.params import COUNTRIES, country_params, default_config_json, params_table
 from roost.plans.fixture import fixture_pings, fixture_tz_codes
-from roost.schemas import HW, PINGS, conform
+from roost.schemas import HW, PINGS, STOPS, conform
 from roost.sources import tables
 from roost.sources.stage import shared_dir
 
@@ -94,3 +94,29 @@ def test_sorted_sink_is_in_global_order(spark, root):
         )
     )
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_order_names_and_configuration(spark, root):
+    config = json.loads(default_config_json())
+    config["countries"]["CO"]["timezone"] = "Asia/Tokyo"
+    found = run_countries(spark, root, ("CO",), 2024, json.dumps(config), steps=("cluster", "local", "hw"), database="default")
+    hw = found["CO"]
+    assert hw.where("timezone IS NULL AND inputed_timezone <> 'Asia/Tokyo'").count() == 0
+    assert spark.table("default.co_hw").count() == hw.count() == spark.table("default.co_local").count()
+    from pyspark.sql import functions as F
+
+    for path in ("hw/CO", "clustered/CO"):
+        files = spark.read.parquet(f"{root}/{path}").groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min("uid"), F.max("uid"))
+        spans = sorted((r[1], r[2]) for r in files.collect())
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+    with pytest.raises(KeyError):
+        run_countries(spark, root, ("CO", "XX"), 2024)
+    for name in ("co_hw", "co_local"):
+        spark.sql(f"DROP TABLE default.{name}")
+
+
+def test_a_missing_column_is_refused(spark, tmp_path):
+    stops = spark.createDataFrame([], STOPS).drop("median_latitude")
+    tables.sink_parquet(stops, f"{tmp_path}/stops/CO/2024")
+    with pytest.raises(ValueError):
+        tables.scan_stops_all_years(spark, str(tmp_path), "CO")

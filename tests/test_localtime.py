@@ -112,3 +112,10 @@ def test_local_fields(spark, utc, zone, local, weekday, weekend):
         day = dt.datetime.fromisoformat(local)
         assert (r.date, r.year, r.month, r.day, r.hour) == (day.date(), day.year, day.month, day.day, day.hour)
         assert r.end_date == r.end_stop_datetime.date()
+
+
+@pytest.mark.parametrize("value", ["1e300", "Infinity", "NaN", "95", "-1000000"])
+def test_points_off_the_globe_make_no_polygon(spark, value):
+    outline = f"POLYGON ((0 0, 1 0, 1 {value}, 0 0))"
+    found = localize_stops(stops_at(spark, (0.1, 0.5)), zones(spark, ("CO", "America/Lima", outline)), "CO", "UTC")
+    assert rows(found, "timezone") == [(None,)]

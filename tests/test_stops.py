@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from conftest import rows, same_rows
 
@@ -123,3 +124,17 @@ def test_one_shuffle_serves_the_whole_step(spark):
     finally:
         spark.conf.set(conf, "true")
     assert plan.count("Exchange") == 1
+
+
+def test_medians_do_not_depend_on_the_plan(spark):
+    """More than ten thousand distinct values in one run."""
+    rng = np.random.default_rng(4)
+    n = 12_000
+    points = [("a", 10 + float(y) * 1e-5, 20 + float(x) * 1e-5, i * 1000) for i, (y, x) in enumerate(rng.random((n, 2)))]
+    pings = spark.createDataFrame(points, PINGS)
+    plain = detect_stops(pings)
+    chunked = detect_stops(pings, max_device_pings=10, rows_per_chunk=3000)
+    assert rows(plain, *plain.columns) == rows(chunked, *plain.columns)
+    first = plain.first()
+    lats = sorted(p[1] for p in points[:-1])
+    assert first["median_latitude"] == lats[(len(lats) - 1) // 2]
