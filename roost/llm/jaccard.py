@@ -13,11 +13,14 @@ so only prefixes are indexed, in two steps:
    frequent tokens there share two of one of g hash groups, so combinations
    inside a group suffice and their number stays in proportion to the set.
 
-Every index entry with several classes is settled by exact comparison of the
-whole sets. A large entry compares all its members with its smallest one,
-joins what is linked, and goes on with what is still apart; so a group of
-near copies costs a few comparisons a member, and no link between different
-components is missed.
+Classes that share index entries, directly or through others, form a field.
+Links lie inside fields, and nearly every field is small enough for one task,
+which compares the whole sets of those classes that share an entry and are not
+yet known to hang together: a group of near copies costs a few comparisons a
+member, and no link between different components is missed. A larger field is
+settled entry by entry over many tasks: all members of an entry are compared
+with its smallest one, what is linked is joined, and what is still apart goes
+on.
 
 Tokens and classes are 64-bit hashes: two different shingles or sets are taken
 for the same with probability 2^-64 a pair.
@@ -44,9 +47,10 @@ from roost.sources.stage import discard, stage
 class JoinParams:
     """Link when ``percent`` * union <= 100 * intersection; ``words`` per shingle.
 
+    ``field_classes`` and ``field_tokens``: what a field may hold to be settled by one task.
+    For larger fields, ``small``: entries of at most so many classes are compared
+    in full; ``rounds``: after so many rounds by smallest member, all others are.
     ``rare``: tokens in at most so many classes are indexed alone.
-    ``small``: entries of at most so many classes are compared in full.
-    ``rounds``: after so many rounds by smallest member, what is still open is compared in full.
     """
 
     words: int = 5
@@ -54,8 +58,11 @@ class JoinParams:
     rare: int = 8
     small: int = 12
     rounds: int = 10
+    field_classes: int = 4000
+    field_tokens: int = 2_000_000
 
 
+BROADCAST_IDS = 1_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -131,20 +138,27 @@ def document_sets(docs: DataFrame, params: JoinParams, prefix: bool) -> DataFram
 
 def candidates(prefixes: DataFrame, params: JoinParams) -> DataFrame:
     """Classes with enough prefix tokens that another class has in its prefix as well: (cls, doc_id)."""
-    one = prefixes.where("cls IS NOT NULL").groupBy("cls").agg(
-        F.min(F.struct("doc_id", "n")).alias("one"), F.first("tokens").alias("tokens")
-    )
-    entries = one.select("cls", F.col("one.doc_id").alias("doc_id"), F.col("one.n").alias("n"), F.explode("tokens").alias("token"))
+    classes = prefixes.where("cls IS NOT NULL").groupBy("cls")
+    one = classes.agg(F.min(F.struct("doc_id", "n")).alias("one")).select("cls", "one.doc_id", "one.n")
+    entries = classes.agg(F.first("tokens").alias("tokens")).select("cls", F.explode("tokens").alias("token"))
+    # One shuffle serves the count and the join.
     entries = entries.repartition("token")
     shared = entries.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1").select("token")
-    found = entries.join(shared, "token").groupBy("cls", "doc_id", "n").agg(F.count("*").alias("hits"))
+    found = entries.join(shared, "token").groupBy("cls").agg(F.count("*").alias("hits"))
     least = F.greatest(F.lit(1), F.floor(needed(F.col("n"), params.percent) / 20))
-    return found.where(F.col("hits") >= least).select("cls", "doc_id")
+    return found.join(one, "cls").where(F.col("hits") >= least).select("cls", "doc_id")
 
 
 def class_sets(docs: DataFrame, chosen: DataFrame, params: JoinParams) -> DataFrame:
     """(cls, n, tokens): the whole sets of the chosen classes, each read from one of its documents."""
-    texts = docs.select("doc_id", "text").join(chosen.select("doc_id").distinct(), "doc_id")
+    ids = chosen.select("doc_id").distinct()
+    if chosen.count() <= BROADCAST_IDS:
+        # Broadcast bound: counted just now, 8 bytes each. Beyond it the texts are shuffled.
+        ids = F.broadcast(ids)
+    # Documents without an id are read together and told apart by their class.
+    ids = ids.withColumnRenamed("doc_id", "chosen_id")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    texts = texts.join(ids, texts["doc_id"].eqNullSafe(ids["chosen_id"])).select("doc_id", "text")
     sets = document_sets(texts, params, prefix=False).join(chosen.select("cls").distinct(), "cls", "left_semi")
     return sets.groupBy("cls").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
 
@@ -204,6 +218,102 @@ def keys_of(n: int, holders: list[int], tokens: list[int], params: JoinParams) -
     return [k - (1 << 64) if k >= 1 << 63 else k for k in keys]
 
 
+def components_of(entries: DataFrame, sets: DataFrame, params: JoinParams) -> DataFrame | None:
+    """(node, root) over all links between classes; None if there are none."""
+    repeated = entries.groupBy("key").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least <> most")
+    stars = entries.join(repeated.select("key", "least"), "key").select(F.col("least").alias("u"), F.col("cls").alias("v"))
+    fields = connected(stars.distinct())
+    held = fields.withColumnRenamed("node", "cls").join(sets, "cls")
+    sizes = stage(held.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("tokens")), "join-fields")
+    fitting = (F.col("members") <= params.field_classes) & (F.col("tokens") <= params.field_tokens)
+    keys = entries.join(repeated.select("key"), "key").groupBy("cls").agg(F.collect_list("key").alias("keys"))
+    one_task = held.join(sizes.where(fitting).select("root"), "root").join(keys, "cls")
+    found = within_fields(one_task.select("root", "cls", "n", "tokens", "keys"), params)
+    if sizes.where(~fitting).isEmpty():
+        return found
+    large = fields.join(sizes.where(~fitting).select("root"), "root").select(F.col("node").alias("cls"))
+    rest = settle(entries.join(large, "cls"), sets, params)
+    return found if rest is None else found.unionByName(rest.select("node", "root"))
+
+
+def within_fields(members: DataFrame, params: JoinParams) -> DataFrame:
+    """(node, root) of the classes that link with others of their field; staged."""
+    ship_package(members.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            field, cls = batch.column("root").to_pylist(), batch.column("cls").to_pylist()
+            lists = [
+                (batch.column(c).offsets.to_numpy(), batch.column(c).values.to_numpy()) for c in ("tokens", "keys")
+            ]
+            for i, (root, c) in enumerate(zip(field, cls, strict=True)):
+                if root != at and held:
+                    yield labelled(held, params.percent)
+                    held = []
+                at = root
+                held.append((c, *(values[ends[i] : ends[i + 1]].copy() for ends, values in lists)))
+        if held:
+            yield labelled(held, params.percent)
+
+    grouped = members.repartition("root").sortWithinPartitions("root", "cls")
+    return stage(grouped.mapInArrow(run, "node bigint, root bigint"), "field-links")
+
+
+def labelled(field: list[tuple[int, np.ndarray, np.ndarray]], percent: int) -> pa.RecordBatch:
+    """Components of one field: (class, tokens, keys) in, the linked classes with their smallest one out."""
+    n = len(field)
+    sets = [set(tokens.tolist()) for _, tokens, _ in field]
+    above = list(range(n))
+
+    def top(i: int) -> int:
+        while above[i] != i:
+            above[i] = above[above[i]]
+            i = above[i]
+        return i
+
+    apart: set[int] = set()
+
+    def links(a: int, b: int) -> bool:
+        if a > b:
+            a, b = b, a
+        x, y = len(sets[a]), len(sets[b])
+        if min(x, y) * 100 < max(x, y) * percent or a * n + b in apart:
+            return False
+        both = len(sets[a] & sets[b])
+        if both * 100 >= (x + y - both) * percent:
+            return True
+        apart.add(a * n + b)
+        return False
+
+    keys = np.concatenate([k for _, _, k in field])
+    owner = np.repeat(np.arange(n), [len(k) for _, _, k in field])
+    order = np.lexsort((owner, keys))
+    starts = np.flatnonzero(np.diff(keys[order], prepend=keys[order[0]] - 1 if len(keys) else 0))
+    for entry in np.split(owner[order], starts[1:]) if len(keys) else []:
+        pools: dict[int, list[int]] = {}
+        for i in entry.tolist():
+            pools.setdefault(top(i), []).append(i)
+        done: list[list[int]] = []
+        for pool in pools.values() if len(pools) > 1 else ():
+            still = []
+            for other in done:
+                if any(links(a, b) for a in pool for b in other):
+                    low, high = sorted((top(pool[0]), top(other[0])))
+                    above[high] = low
+                    pool = pool + other
+                else:
+                    still.append(other)
+            done = [*still, pool]
+    root = [top(i) for i in range(n)]
+    size = np.bincount(root, minlength=n)
+    at = [i for i in range(n) if size[root[i]] > 1]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([field[i][0] for i in at], pa.int64()), pa.array([field[root[i]][0] for i in at], pa.int64())],
+        ["node", "root"],
+    )
+
+
 def fits(n1: Column, n2: Column, percent: int) -> Column:
     """Sizes alone do not rule a link out."""
     return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
@@ -268,13 +378,15 @@ def near_documents(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFr
     """
     prefixes = stage(document_sets(docs, params, prefix=True), "shingle-prefixes")
     chosen = stage(candidates(prefixes, params), "join-candidates")
+    rows = stage(prefixes.select("doc_id", "cls", "n"), "document-classes")
+    discard(prefixes)
     sets = stage(class_sets(docs, chosen, params), "join-sets")
-    roots = settle(stage(index_entries(sets, params), "join-index"), sets, params)
-    rows = prefixes.select("doc_id", "cls", "n")
+    roots = components_of(stage(index_entries(sets, params), "join-index"), sets, params)
     if roots is None:
         rooted = rows.withColumn("root", F.col("cls"))
     else:
-        rooted = rows.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        named = roots.select(F.col("node").alias("cls"), "root")
+        rooted = rows.join(named, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component"))
     return rooted.join(least, "root", "left").select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
