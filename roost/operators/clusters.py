@@ -14,7 +14,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from roost.operators.density import NOISE, label_pack
 from roost.operators.density_spread import spread_labels
-from roost.operators.skew import CHUNK_ROWS, by_key, hot_keys, key_sizes, number_rows, split_hot, spread_join
+from roost.operators.skew import CHUNK_ROWS, by_key, key_sizes, number_rows, split_hot, spread_join
 from roost.params import ClusterParams
 from roost.schemas import CLUSTERED
 from roost.sources.ship import ship_package
@@ -48,18 +48,14 @@ def cluster_stops(
     extra = [k for k in dedup_keys if k not in CLUSTERED.fieldNames()]
     stops = with_seconds(stops, extra)
     owned = F.col(DEVICE).isNotNull()
-    sizes = stops.groupBy(DEVICE).agg(F.count("*").alias("n"))
-    total, largest, loose = sizes.agg(
-        F.sum(F.when(owned, F.col("n"))), F.max(F.when(owned, F.col("n"))), F.sum(F.when(~owned, F.col("n")))
-    ).first()
-    total, largest = total or 0, largest or 0
+    total, largest, hot = key_sizes(stops.where(owned), DEVICE, max_device_stops)
 
     # A key's rows may lie on both sides of "has a place", never on both sides
     # of a device: parts are by device, so that the dedup sees whole keys.
     parts = []
     ordinary = stops.where(owned)
     if largest > max_device_stops:
-        ordinary, crowded = split_hot(ordinary, DEVICE, hot_keys(ordinary, DEVICE, max_device_stops))
+        ordinary, crowded = split_hot(ordinary, DEVICE, hot)
         labelled = spread_labels(crowded.where(placed_stop()), params.distance, params.min_points, rows_per_chunk)
         unplaced = crowded.where(~placed_stop()).withColumn(RAW, F.lit(NOISE).cast("bigint"))
         parts.append(stats_by_join(labelled.unionByName(unplaced), extra, rows_per_chunk))
@@ -67,7 +63,7 @@ def cluster_stops(
     # themselves the windows would shuffle once for each set of keys.
     labelled = by_key(label_by_pack(ordinary, params, total), DEVICE, total, STOPS_PER_TASK)
     parts.append(stats_by_device(labelled, extra))
-    if loose:
+    if not stops.where(~owned).isEmpty():
         # Stops without a device are never clustered; their keys spread them.
         parts.append(clustered_columns(stops.where(~owned), F.lit(NOISE), F.lit(1), F.col(LAT), F.col(LON), extra))
     result = [first_per_key(p, dedup_keys).select(*CLUSTERED.fieldNames(), *extra) for p in parts]
@@ -105,10 +101,10 @@ def label_stops(
 ) -> DataFrame:
     """Add a raw cluster number per device (-1 for noise) to stops that have a place."""
     stops = stops.where(placed_stop())
-    total, largest = key_sizes(stops, DEVICE)
+    total, largest, hot = key_sizes(stops, DEVICE, max_device_stops)
     if largest <= max_device_stops:
         return label_by_pack(stops, params, total)
-    ordinary, crowded = split_hot(stops, DEVICE, hot_keys(stops, DEVICE, max_device_stops))
+    ordinary, crowded = split_hot(stops, DEVICE, hot)
     return label_by_pack(ordinary, params, total).unionByName(
         spread_labels(crowded, params.distance, params.min_points, rows_per_chunk)
     )

@@ -41,9 +41,10 @@ def label_pack(pdf: pd.DataFrame, eps_m: float, min_points: int) -> np.ndarray:
         return np.empty(0, dtype=np.int64)
     device, _ = pd.factorize(pdf["device_id"])
     turn = np.empty(len(pdf), dtype=np.int64)
-    turn[np.lexsort((pdf["stop_events"], pdf["start_timestamp"]))] = np.arange(len(pdf))
     lat = pdf["median_latitude"].to_numpy(float)
     lon = pdf["median_longitude"].to_numpy(float)
+    # Equal starts and numbers are told apart by place: no result hangs on the order of rows.
+    turn[np.lexsort((lon, lat, pdf["stop_events"], pdf["start_timestamp"]))] = np.arange(len(pdf))
 
     # Equal positions of a device collapse to one weighted site.
     order = np.lexsort((lon, lat, device))

@@ -67,7 +67,8 @@ def sites_and_cells(
         stops.groupBy(*SITE)
         .agg(
             F.count("*").alias("weight"),
-            F.min(F.struct("start_timestamp", "stop_events")).alias("first"),
+            # The site's place is its last resort against ties, as in the numpy plan.
+            F.min(F.struct("start_timestamp", "stop_events", LAT, LON)).alias("first"),
         )
         .withColumn("cell", cell)
     )

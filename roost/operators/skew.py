@@ -15,23 +15,21 @@ from pyspark.sql import functions as F
 from roost.sources.stage import stage
 
 CHUNK_ROWS = 1_000_000
+MAX_HOT_KEYS = 500_000
 
 
-def key_sizes(df: DataFrame, key: str) -> tuple[int, int]:
-    """(number of rows, rows of the largest key).
+def key_sizes(df: DataFrame, key: str, limit: int) -> tuple[int, int, DataFrame]:
+    """(number of rows, rows of the largest key, the keys with more than ``limit`` rows).
 
-    Reads the key column only, counts map-side first, and brings two numbers
-    to the driver.
+    One count serves all three. It reads the key column only, adds up map-side
+    first, keeps a row for each large key and one for all others together, and
+    brings two numbers to the driver.
     """
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
-    return total or 0, largest or 0
-
-
-def hot_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """The keys with more than ``limit`` rows: at most ``rows / limit`` keys."""
-    counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    return stage(counts.where(F.col("n") > limit), "hot-keys")
+    large = F.when(F.col("n") > limit, F.col(key)).alias(key)
+    folded = stage(counts.groupBy(large).agg(F.sum("n").alias("n"), F.max("n").alias("largest")), "key-sizes")
+    total, largest = folded.agg(F.sum("n"), F.max("largest")).first()
+    return total or 0, largest or 0, folded.where(F.col(key).isNotNull()).select(key)
 
 
 def by_key(df: DataFrame, key: str, total: int, rows_per_task: int) -> DataFrame:
@@ -43,12 +41,12 @@ def by_key(df: DataFrame, key: str, total: int, rows_per_task: int) -> DataFrame
 
 
 def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys); neither side is shuffled.
+    """(rows of ordinary keys, rows of hot keys).
 
-    ``key`` must not be NULL. Broadcast bound: see hot_keys; with a limit of a
-    million, 10^12 rows leave fewer than 10^6 short keys.
+    ``key`` must not be NULL. Up to MAX_HOT_KEYS, counted here, are broadcast,
+    so neither side is shuffled; more are joined by shuffle.
     """
-    marks = F.broadcast(hot.select(key))
+    marks = F.broadcast(hot) if hot.count() <= MAX_HOT_KEYS else hot
     return df.join(marks, key, "left_anti"), df.join(marks, key, "left_semi")
 
 

@@ -15,7 +15,6 @@ from roost.functions.geo import haversine_m
 from roost.operators.skew import (
     CHUNK_ROWS,
     by_key,
-    hot_keys,
     key_sizes,
     number_rows,
     offsets_before,
@@ -39,13 +38,17 @@ def detect_stops(
     params: StopParams = StopParams(),
     max_device_pings: int = MAX_DEVICE_PINGS,
     rows_per_chunk: int = CHUNK_ROWS,
+    valid_coords: bool = False,
 ) -> DataFrame:
     """Stops per device, numbered by start time.
 
     Ordinary devices take one shuffle by device, which serves the dedup, all
     windows and both aggregates. Devices with more than ``max_device_pings``
     are cut into chunks of their time line and take a plan of joins instead.
+    ``valid_coords`` drops pings whose position is off the globe.
     """
+    if valid_coords:
+        pings = pings.where(F.col("latitude").between(-90.0, 90.0) & F.col("longitude").between(-180.0, 180.0))
     ordinary, crowded, total = by_device_size(pings, max_device_pings)
     stops = stops_by_device(by_key(ordinary, DEVICE, total, PINGS_PER_TASK), params)
     if crowded is None:
@@ -71,10 +74,10 @@ def by_device_size(pings: DataFrame, limit: int) -> tuple[DataFrame, DataFrame |
     """(pings of ordinary devices, pings of crowded devices or None, number of pings)."""
     # A ping without a device belongs to no one's time line and makes no stop.
     pings = pings.select(*PING).where(F.col(DEVICE).isNotNull())
-    total, largest = key_sizes(pings, DEVICE)
+    total, largest, hot = key_sizes(pings, DEVICE, limit)
     if largest <= limit:
         return pings, None, total
-    return *split_hot(pings, DEVICE, hot_keys(pings, DEVICE, limit)), total
+    return *split_hot(pings, DEVICE, hot), total
 
 
 # --- expressions shared by both plans ----------------------------------------
