@@ -63,29 +63,26 @@ def timezone_bands(lookup: DataFrame) -> DataFrame:
     """One row per polygon and latitude band, with the edges that cross the band.
 
     Malformed or missing geometry yields no row, so it contains nothing.
+    The outlines are staged.
     """
-    parsed = with_wkt_edges(lookup.withColumnRenamed("tz", "timezone"), "geometry")
-
-    def reach(pick, axis: str) -> Column:
-        least = pick is F.array_min
-        end = F.least if least else F.greatest
-        return pick(F.transform("edges", lambda e: end(e[f"{axis}0"], e[f"{axis}1"])))
-
-    boxed = parsed.select(
-        "timezone", "edges",
-        reach(F.array_min, "x").alias("west"), reach(F.array_max, "x").alias("east"),
-        reach(F.array_min, "y").alias("south"), reach(F.array_max, "y").alias("north"),
-    )
-    # A NULL outline spans no band and disappears here.
-    bands = F.sequence(band_of(F.col("south")), band_of(F.col("north")))
-    banded = boxed.withColumn("band", F.explode(bands))
-
-    def crosses(e: Column) -> Column:
-        return (band_of(F.least(e["y0"], e["y1"])) <= F.col("band")) & (
-            band_of(F.greatest(e["y0"], e["y1"])) >= F.col("band")
-        )
-
-    return banded.select("timezone", "band", "west", "east", F.filter("edges", crosses).alias("edges"))
+    outlines = with_wkt_edges(lookup.withColumnRenamed("tz", "timezone"), "geometry").where("edges IS NOT NULL")
+    # Equal rows are polygons of their own; the numbers are written, so they stay.
+    parsed = stage(outlines.select(F.monotonically_increasing_id().alias("polygon"), "timezone", "edges"), "outlines")
+    sides = parsed.select(
+        "polygon",
+        "timezone",
+        F.array_min(F.transform("edges", lambda e: F.least(e["x0"], e["x1"]))).alias("west"),
+        F.array_max(F.transform("edges", lambda e: F.greatest(e["x0"], e["x1"]))).alias("east"),
+    )
+    # Each edge goes to the bands it crosses: the work is that of the edges, not of edges times bands.
+    edges = parsed.select("polygon", F.explode("edges").alias("e"))
+    crossed = F.sequence(band_of(F.least("e.y0", "e.y1")), band_of(F.greatest("e.y0", "e.y1")))
+    banded = (
+        edges.select("polygon", "e", F.explode(crossed).alias("band"))
+        .groupBy("polygon", "band")
+        .agg(F.collect_list("e").alias("edges"))
+    )
+    return banded.join(sides, "polygon").select("timezone", "band", "west", "east", "edges")
 
 
 def band_of(lat: Column) -> Column:
