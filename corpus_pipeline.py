@@ -33,9 +33,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every whole text as ids, and as the text that those ids decode to."""
-    path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = bpe.encode_documents(docs, path)
-    return bpe.decode_documents(encoded, path).drop("text")
+    return bpe.tokenize_documents(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text")
 
 
 STAGES = [

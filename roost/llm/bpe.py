@@ -38,12 +38,13 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 NONE = 1 << 62
 PLACE = 32
 MASK = (1 << PLACE) - 1
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 120_000
 # Words up to this many bytes are merged side by side, so many at a time.
 BATCHED_LENGTH = 128
 BATCHED_WORDS = 20_000
 # Characters of text that are split at a time.
-TEXT_CHARS = 2_000_000
+TEXT_CHARS = 1_000_000
+IDS = pa.list_(pa.int32())
 
 
 def byte_letters() -> list[str]:
@@ -276,16 +277,21 @@ def vocabulary(path: str) -> Bpe:
     return Bpe(path)
 
 
-def encoded_in_turn(bpe: Bpe, texts: pa.Array) -> Iterator[list[int]]:
-    """Ids of each text, a null one counting as empty; a bounded amount of text is held split."""
-    held, chars = [], 0
-    for text in texts:
-        held.append(text.as_py() or "")
-        chars += len(held[-1])
-        if chars >= TEXT_CHARS:
-            yield from bpe.encode_all(held)
-            held, chars = [], 0
-    yield from bpe.encode_all(held)
+def slices(batch: pa.RecordBatch, column: str, most: int = TEXT_CHARS) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces whose values in ``column`` hold about ``most`` characters, so that little is held split."""
+    start, held = 0, 0
+    for i, value in enumerate(batch.column(column)):
+        held += len(value.as_py() or "")
+        if held >= most:
+            yield batch.slice(start, i + 1 - start)
+            start, held = i + 1, 0
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def encoded(bpe: Bpe, column: pa.Array) -> list[list[int]]:
+    """Ids of each text; a null one counts as empty."""
+    return bpe.encode_all([t or "" for t in column.to_pylist()])
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -294,31 +300,45 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str =
     ``path`` names the vocabulary file on every machine. Whole texts are
     encoded; an input column called like ``ids`` is replaced.
     """
-    return with_arrow(docs, ids, "array<int>", encoded_in_turn, path, text, pa.list_(pa.int32()))
+    return with_arrow(docs, text, path, {ids: "array<int>"}, lambda bpe, t: [pa.array(encoded(bpe, t), IDS)])
 
 
 def decode_documents(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add ``text``: the decoded ids of every row. Null ids count as none: empty text."""
 
+    def made(bpe: Bpe, column: pa.Array) -> list[pa.Array]:
+        return [pa.array([bpe.decode(i or []) for i in column.to_pylist()], pa.string())]
+
+    return with_arrow(rows, ids, path, {text: "string"}, made)
 
-    def decoded(bpe: Bpe, column: pa.Array) -> Iterator[str]:
-        return (bpe.decode(i.as_py() or []) for i in column)
 
-    return with_arrow(rows, text, "string", decoded, path, ids, pa.string())
+def tokenize_documents(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``encode_documents`` and ``decode_documents`` in one pass: one vocabulary in memory instead of two."""
 
+    def made(bpe: Bpe, column: pa.Array) -> list[pa.Array]:
+        found = encoded(bpe, column)
+        return [pa.array(found, IDS), pa.array([bpe.decode(i) for i in found], pa.string())]
 
-def with_arrow(rows: DataFrame, name: str, kind: str, step, path: str, source: str, arrow: pa.DataType) -> DataFrame:
+    return with_arrow(docs, text, path, {ids: "array<int>", decoded: "string"}, made)
+
+
+def with_arrow(rows: DataFrame, source: str, path: str, added: dict[str, str], made) -> DataFrame:
+    """Add columns that ``made`` computes from ``source``; input columns so called go."""
     ship_package(rows.sparkSession)
-    kept = [c for c in rows.columns if c != name]
+    kept = [c for c in rows.columns if c not in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in batches:
-            made = pa.array(list(step(bpe, batch.column(source))), arrow)
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [made], [*kept, name])
+            for part in slices(batch, source):
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in kept), *made(bpe, part.column(source))], [*kept, *added]
+                )
 
-    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != name])
-    return rows.mapInArrow(run, f"{fields}, `{name}` {kind}")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in kept]
+    return rows.mapInArrow(run, ", ".join([*fields, *(f"`{n}` {t}" for n, t in added.items())]))
 
 
 def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -332,14 +352,12 @@ def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         numbers = {i: str(i) for i in bpe.tokens}
-        for batch in batches:
-            counts, encoded, decoded = [], [], []
-            for ids in encoded_in_turn(bpe, batch.column("text")):
-                counts.append(len(ids))
-                encoded.append(sha256(" ".join([numbers[i] for i in ids]).encode()).hexdigest())
-                decoded.append(sha256(bpe.decode(ids).encode("utf-8")).hexdigest())
+        for part in (p for batch in batches for p in slices(batch, "text")):
+            found = encoded(bpe, part.column("text"))
+            first = [sha256(" ".join([numbers[i] for i in ids]).encode()).hexdigest() for ids in found]
+            second = [sha256(bpe.decode(ids).encode("utf-8")).hexdigest() for ids in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), *(pa.array(x, pa.string()) for x in (encoded, decoded))],
+                [part.column("doc_id"), pa.array(map(len, found), pa.int64()), *(pa.array(x, pa.string()) for x in (first, second))],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
