@@ -3,8 +3,10 @@
 Each document gives a vector of transformed text statistics. For each language
 and source, the half of the documents whose covariance has the smallest
 determinant is sought from two robust starting points by concentration steps;
-documents far from that half's centre in its Mahalanobis distance are
-rejected. Everything is DataFrame functions: moments are sums that add up
+documents near that half's centre give the final estimate (the usual
+reweighting), and those far from it in its Mahalanobis distance are rejected.
+Covariances are widened to that of all of a normal sample by factors that do
+not look at the far documents: nearly half of a group may be junk. Everything is DataFrame functions: moments are sums that add up
 before any shuffle, so a source with a third of all rows is no hot group.
 
 Vectors are whole numbers of 1/1024, so that all sums are exact and the result
@@ -13,6 +15,7 @@ does not depend on the order of rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -24,21 +27,26 @@ from roost.sources.stage import stage
 SPACE = " \t\n\x0b\x0c\r"
 AXES = ("word_length", "symbols", "dup_lines", "repeats", "length")
 GRID = 1024.0
-# Median and upper quantiles of the chi-square distribution with five degrees of freedom. Fixed values.
-CHI5_MEDIAN = 4.351460
+# Upper quantiles of the chi-square distribution with five degrees of freedom. Fixed values.
 CHI5_UPPER = {0.999: 20.515006, 0.9999: 25.744838, 0.99999: 30.856190}
 STARTS = (0, 1)
+# The share of normal rows near the half's centre that the final estimate is made of, and its quantile.
+NEAR, CHI5_NEAR = 0.975, 12.832502
+# Pison, Van Aelst and Willems (2002): for five axes the half of n normal rows, and the rows near it,
+# come out too narrow by 1 - a / n^b.
+NARROW_HALF, NARROW_NEAR = (4.926194, 0.836056), (217.754758, 2.058710)
 
 
 @dataclass(frozen=True)
 class OutlierParams:
-    """``least_spread``: standard deviations (in ``AXES`` order) that are granted on top of the measured ones.
+    """``half``: the share whose determinant is minimised; the rest of a group, less three rows, may be junk.
+    ``least_spread``: standard deviations (in ``AXES`` order) that are granted on top of the measured ones.
 
     Groups with fewer than ``min_group`` usable documents are pooled by
     language, then all together; a pool that is still smaller rejects nothing.
     """
 
-    half: float = 0.75
+    half: float = 0.5
     steps: int = 4
     quantile: float = 0.99999
     min_group: int = 50
@@ -177,8 +185,22 @@ def rank_of(d2: Column) -> Column:
     return F.round(F.log1p(d2) * 256).cast("int")
 
 
-def moments(rows: DataFrame, keys: list[str], params: OutlierParams) -> DataFrame:
-    """keys, m_i and c_ij of the rows, the granted spreads added; sums are exact."""
+def consistency(share: float) -> float:
+    """What the covariance of the nearest ``share`` of a normal sample in five dimensions is to be multiplied by."""
+
+    def density(x: float) -> float:
+        return math.sqrt(2 * x / math.pi) * math.exp(-x / 2)
+
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        x = (low + high) / 2
+        below = math.erf(math.sqrt(x / 2)) - density(x) * (1 + x / 3) < share
+        low, high = (x, high) if below else (low, x)
+    return share / (share - density(low) * low * low / 15)
+
+
+def moments(rows: DataFrame, keys: list[str], params: OutlierParams, factor: float = 1.0) -> DataFrame:
+    """keys, m_i and c_ij of the rows, c_ij times ``factor`` and the granted spreads added; sums are exact."""
     sums = [F.sum(f"x{i}").alias(f"s{i}") for i in range(5)]
     products = [
         F.sum((F.col(f"x{i}") * F.col(f"x{j}")).cast("decimal(38,0)")).alias(f"p{i}{j}") for i, j in PAIRS
@@ -187,7 +209,7 @@ def moments(rows: DataFrame, keys: list[str], params: OutlierParams) -> DataFram
     mean = lambda i: F.col(f"s{i}").cast("double") / F.col("n")
     covariances = []
     for i, j in PAIRS:
-        c = (F.col(f"p{i}{j}").cast("double") / F.col("n") - mean(i) * mean(j)) / (GRID * GRID)
+        c = (F.col(f"p{i}{j}").cast("double") / F.col("n") - mean(i) * mean(j)) * factor / (GRID * GRID)
         covariances.append((c + (params.least_spread[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}"))
     return total.select(*keys, *[(mean(i) / GRID).alias(f"m{i}") for i in range(5)], *covariances)
 
@@ -234,25 +256,54 @@ def measured(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return rows.join(estimates, "g").withColumn("rank", rank_of(distance()))
 
 
+def reach(ranked: DataFrame, params: OutlierParams) -> DataFrame:
+    """(g, start, limit): the rank of the h-th nearest row, h = (n + p + 1) / 2 for the half.
+
+    Rows are counted by rank before a group comes together: few counts for any number of rows.
+    """
+    counted = ranked.groupBy("g", "start", "rank").agg(F.count("*").alias("n"))
+    listed = counted.groupBy("g", "start").agg(
+        F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("rank", "n"))).alias("ranks")
+    )
+    least = F.floor((F.col("n") + len(AXES) + 1) / 2)
+    h = F.least(F.col("n"), F.floor(least * 2 - F.col("n") + (F.col("n") - least) * 2 * params.half))
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("int").alias("limit"))
+    walk = lambda s, x: F.struct(
+        (s["seen"] + x["n"]).alias("seen"), F.when(s["seen"] < F.col("h"), x["rank"]).otherwise(s["limit"]).alias("limit")
+    )
+    limit = F.aggregate("ranks", start, walk, lambda s: s["limit"])
+    return listed.withColumn("h", h).select("g", "start", limit.alias("limit"))
+
+
 def concentrate(rows: DataFrame, estimates: DataFrame, params: OutlierParams) -> DataFrame:
     """Estimates of the nearest share of each group: never a larger determinant than before."""
     ranked = measured(rows, estimates)
-    limits = ranked.groupBy("g", "start").agg(F.percentile("rank", params.half).alias("limit"))
-    nearest = ranked.join(limits, ["g", "start"]).where(F.col("rank") <= F.col("limit"))
-    return stage(inverse_factor(moments(nearest, ["g", "start"], params), ["g", "start"]), "mcd-estimates")
+    nearest = ranked.join(reach(ranked, params), ["g", "start"]).where(F.col("rank") <= F.col("limit"))
+    found = moments(nearest, ["g", "start"], params, consistency(params.half))
+    return stage(inverse_factor(found, ["g", "start"]), "mcd-estimates")
+
+
+def widening(members: Column, narrow: tuple[float, float]) -> Column:
+    """Groups of fewer than four rows an axis take that number's."""
+    return 1.0 / (1.0 - narrow[0] / F.pow(F.greatest(members, F.lit(4 * len(AXES))), F.lit(narrow[1])))
 
 
 def minimum_covariance(rows: DataFrame, params: OutlierParams) -> DataFrame:
-    """Per group the estimate of smaller determinant, and ``scale``, which brings its median distance to the normal one."""
+    """Per group the estimate from the rows near the half of smaller determinant, ``members`` and ``scale``.
+
+    ``scale`` widens the estimates of few members.
+    """
     estimates = starting_points(rows, params)
     for _ in range(params.steps):
         estimates = concentrate(rows, estimates, params)
     fields = [c for c in estimates.columns if c != "g"]
     first = ["logdet", "start", *[c for c in fields if c not in ("logdet", "start")]]
     best = estimates.groupBy("g").agg(F.min(F.struct(*first)).alias("e")).select("g", "e.*")
-    middle = measured(rows, best).groupBy("g").agg(F.percentile("rank", 0.5).alias("middle"), F.count("*").alias("members"))
-    scale = F.greatest(F.lit(1.0), F.expm1(F.col("middle") / 256) / CHI5_MEDIAN)
-    return stage(best.join(middle.select("g", "members", scale.alias("scale")), "g"), "mcd-chosen")
+    sizes = stage(rows.groupBy("g").agg(F.count("*").alias("members")), "mcd-members")
+    half = best.join(sizes, "g")
+    near = rows.join(half, "g").where(distance() <= widening(F.col("members"), NARROW_HALF) * CHI5_NEAR)
+    final = inverse_factor(moments(near, ["g"], params, consistency(NEAR)), ["g"])
+    return stage(final.join(sizes, "g").withColumn("scale", widening(F.col("members"), NARROW_NEAR)), "mcd-chosen")
 
 
 def quality_rules(docs: DataFrame, params: OutlierParams = OutlierParams()) -> DataFrame:

@@ -259,6 +259,23 @@ def test_small_determinant_is_found(spark):
     assert np.abs([e[f"m{i}"] for i in range(5)]).max() < 0.2
 
 
+def test_nearly_half_of_a_group_may_be_junk(spark):
+    """Clean and symbol-laden documents of one source, production parameters."""
+    assert abs(outliers.consistency(0.5) - 1.9122082) < 1e-6
+    words = ["data", "river", "of", "stone", "a", "morning", "window", "in", "green", "yesterday", "paper", "walk"]
+    for bad, n in ((400, 1000), (27, 60)):
+        rng = np.random.default_rng(n + bad)
+        texts = []
+        for i in range(n):
+            some = rng.choice(words, int(np.exp(rng.normal(5.6, 0.5))) + 60).tolist()
+            junk = rng.random(len(some)) < rng.uniform(0.3, 0.4) if i < bad else np.zeros(len(some), dtype=bool)
+            texts.append(" ".join(w + "#$%" if j else f"{w}{k}" for k, (w, j) in enumerate(zip(some, junk, strict=True))))
+        frame = spark.createDataFrame([(i, t, "en", "web") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+        kept = {r["doc_id"] for r in outliers.quality_rules(frame).where("kept").collect()}
+        assert sum(i not in kept for i in range(bad)) >= 0.95 * bad
+        assert sum(i not in kept for i in range(bad, n)) <= 0.005 * n
+
+
 # ---- chat ---------------------------------------------------------------------------------
 
 CHAT = "conv_id bigint, turn bigint, role string, text string, valid string, formatted string"
