@@ -61,7 +61,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], params:
 
     A label without a document teaches nothing, a null condition counts as
     false, a null text as empty. Several labels of one id: it is in a category
-    if any says so.
+    if any says so. A category without a positive row among those fitted on,
+    or without any row, scores 0 everywhere: no document is toxic by it.
     """
     flags = [F.max(F.coalesce(F.expr(c), F.lit(False))).alias(f"y{i}") for i, c in enumerate(categories.values())]
     known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*flags)
@@ -160,11 +161,13 @@ def logistic(x: np.ndarray, y: np.ndarray, params: ToxicityParams) -> np.ndarray
 
     Inputs are scaled by their tilt, so that the penalty spares the telling
     ones: of words that mostly come together, each alone is then enough.
+    Without a positive row the bias is minus infinity: probability 0.
     """
     scale = tilt(x, y).astype(np.float32)
     x = x * scale
     w = np.zeros(x.shape[1] + 1, dtype=np.float64)
-    if not len(x):
+    if not y.any():
+        w[-1] = -np.inf
         return w
     # The largest curvature: a bound on the squared norm of the inputs, by power steps.
     v = np.ones(x.shape[1], dtype=np.float32)
@@ -185,6 +188,8 @@ def logistic(x: np.ndarray, y: np.ndarray, params: ToxicityParams) -> np.ndarray
 
 
 def probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    if np.isneginf(w[-1]):
+        return np.zeros(len(x))
     return 1 / (1 + np.exp(-np.clip(x @ w[:-1].astype(np.float32) + w[-1], -30, 30)))
 
 
@@ -202,7 +207,7 @@ def scorer(model: ChainModel, params: ToxicityParams):
         given: list[float] = []
         for w in model.weights:
             z = w[at].sum() + sum(p * w[size + i] for i, p in enumerate(given)) + w[-1]
-            given.append(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
+            given.append(0.0 if np.isneginf(z) else float(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
         return given
 
     return score

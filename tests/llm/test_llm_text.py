@@ -206,6 +206,22 @@ def test_toxicity(spark, odd):
     assert toxicity.drop_toxic(docs.limit(0), none, params).count() == 0
 
 
+def test_nothing_is_toxic_without_positive_labels(spark):
+    rows = [(i, ("good plain words", "bad vile words", None)[i % 3]) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    label = "doc_id long, quality int, toxic int"
+    empty = spark.createDataFrame([], label)
+    unmatched = spark.createDataFrame([(i + 1000, 0, 1) for i in range(20)], label)
+    negative = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], label)
+    params = toxicity.ToxicityParams()
+    for labels in (empty, unmatched, negative):
+        model = toxicity.fit(docs, labels, toxicity.CATEGORIES, params)
+        scored = toxicity.score_documents(docs, model, params).collect()
+        assert len(scored) == 30 and all(r["kept"] and not r["toxic"] and r["p_toxic"] == 0 for r in scored)
+        assert toxicity.drop_toxic(docs, model, params).count() == 30
+    assert any(r["p_low_quality"] > 0 for r in scored)
+
+
 # ---- quality ------------------------------------------------------------------------------
 
 
