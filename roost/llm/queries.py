@@ -6,8 +6,24 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from roost.llm import bpe, chat, jaccard, langid, mixing, outliers, pii, sql, toxicity, vectors, warc
+from pyspark.sql import functions as F
+
+from roost.llm import (
+    bpe,
+    chat,
+    jaccard,
+    langid,
+    mixing,
+    outliers,
+    passages,
+    periodic,
+    pii,
+    ranked,
+    sql,
+    toxicity,
+    vectors,
+    warc,
+)
 
 # Sources weigh the same in the mix; their sizes are counted in characters.
 MIX = mixing.MixParams(size="n_chars")
@@ -63,6 +79,29 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of the documents whose hash ends in 0, the words from some place on repeat with a period."""
+    words = F.filter(F.split(F.col("text").cast("string"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    split = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"), words.alias("words"))
+    placed = split.selectExpr("*", "size(words) AS n", "h div 10 AS g").selectExpr("*", "int(g % n) AS a")
+    timed = placed.selectExpr("*", "int(1 + (n - a) div (3 + g % 8)) AS p")
+    cycle = "slice(flatten(array_repeat(slice(words, a + 1, p), int(ceil((n - a) / p)))), 1, n - a)"
+    changed = F.expr(f"array_join(concat(slice(words, 1, a), {cycle}), ' ')")
+    return timed.select("doc_id", F.when(F.expr("h % 10 = 0 AND n > 0"), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(with_periods(table(spark, sf_dir, "documents")))
+
+
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passage_digests(table(spark, sf_dir, "documents"))
+
+
 OPERATORS = (
     op1_language_id,
     op2_quality,
@@ -74,6 +113,9 @@ OPERATORS = (
     op8_bpe,
     op9_jaccard,
     op10_warc,
+    op11_runs,
+    op12_ranked,
+    op13_passages,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
 
@@ -83,4 +125,7 @@ SQL: dict[str, str] = {
     "op6_vectors": sql.VECTORS,
     "op9_jaccard": sql.JACCARD,
     "op10_warc": sql.WARC,
+    "op11_runs": sql.RUNS,
+    "op12_ranked": sql.RANKED,
+    "op13_passages": sql.PASSAGES,
 }

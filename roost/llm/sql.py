@@ -121,3 +121,81 @@ SELECT page_id, n::BIGINT AS payload_bytes,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM firsts
 """
+
+# CRC-32 of a number's decimal digits, bit by bit.
+CRC32 = """xor(list_reduce([4294967295::BIGINT] || [ascii(c)::BIGINT for c in string_split(doc_id::VARCHAR, '')],
+    lambda c, b: list_reduce([xor(c, b)] || [0::BIGINT for k in range(8)],
+        lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT)"""
+
+RUNS = f"""
+WITH split AS (
+    SELECT doc_id, row_number() OVER () AS r, {WORDS.format(text="text")} AS w, {CRC32} AS h FROM documents
+),
+placed AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM split),
+texts AS (
+    SELECT doc_id, r, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN [w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1] for i in range(n)] ELSE w END AS w
+    FROM placed
+),
+words AS (SELECT r, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM texts),
+often AS (SELECT * FROM words QUALIFY count(*) OVER (PARTITION BY r, word) >= 4),
+equal AS (
+    SELECT x.r, y.i - x.i AS q, x.i FROM often x JOIN often y
+    ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM equal),
+stretches AS (
+    SELECT r, min(i) AS start, count(*) + q AS length, q AS period FROM islands
+    GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+),
+runs AS (
+    SELECT * FROM stretches s WHERE NOT EXISTS (
+        FROM stretches t WHERE t.r = s.r AND t.period < s.period AND t.start <= s.start AND t.start + t.length >= s.start + s.length)
+),
+told AS (
+    SELECT r, count(*) AS n_runs,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+           first({{'start': start, 'length': length, 'period': period}} ORDER BY length::DOUBLE / period DESC, start, period) AS best
+    FROM runs GROUP BY r
+),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+       1000 * best.length // best.period AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+       sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM texts LEFT JOIN told USING (r) LEFT JOIN kept USING (r)
+"""
+
+TERMS = rf"regexp_extract_all({LOWER.format(text="coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED = f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, {TERMS} AS t FROM documents),
+items AS (SELECT item_id, row_number() OVER () AS q, {TERMS} AS t FROM benchmark),
+counts AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM docs) GROUP BY r, term),
+totals AS (SELECT count(*) FILTER (len(t) > 0) AS n, sum(len(t))::BIGINT AS l FROM docs),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM counts, totals GROUP BY term, n
+),
+lengths AS (SELECT r, doc_id, 75 + 25 * len(t) * n // l AS m FROM docs, totals WHERE len(t) > 0),
+asked AS (SELECT q, term, count(*) AS times FROM (SELECT q, unnest(t) AS term FROM items) GROUP BY q, term),
+scores AS (
+    SELECT q, r, doc_id, sum(times * w * (1000000000 * tf // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (r) GROUP BY q, r, doc_id
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, place::INT AS rank, doc_id, score FROM ranked JOIN items USING (q) WHERE place <= 20
+"""
+
+PASSAGES = f"""
+WITH split AS (SELECT doc_id, row_number() OVER () AS r, {WORDS.format(text="text")} AS w FROM documents),
+windows AS (
+    SELECT doc_id, r, i, md5(array_to_string(w[i : i + 49], ' ')) AS told FROM split, unnest(range(1, len(w) - 48)) AS t(i)
+),
+later AS (SELECT * FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY told)),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS i FROM later),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM split),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (r, i) GROUP BY r),
+counted AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN counted USING (r) LEFT JOIN kept USING (r)
+"""
