@@ -56,6 +56,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hashes of two sequences in a row; mixed once more, as equal steps would cancel each other in an outer join."""
+    return mixed(mixed(left + STEP) ^ right)
+
+
 def sequences(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all n consecutive words, from hashes of 1, 2, 4... consecutive ones."""
     total = len(words) - n + 1
@@ -65,11 +70,11 @@ def sequences(words: np.ndarray, n: int) -> np.ndarray:
     while True:
         if n & size:
             part = power[done : done + total]
-            out = part if out is None else mixed(out + STEP) ^ part
+            out = part if out is None else joined(out, part)
             done += size
         if 2 * size > n:
-            return mixed(out)
-        power = mixed(power[: len(power) - size] + STEP) ^ power[size:]
+            return out
+        power = joined(power[: len(power) - size], power[size:])
         size *= 2
 
 
@@ -115,7 +120,7 @@ def anchor_rows(texts: list[bytes], params: PassageParams) -> tuple[np.ndarray,
     first, last = inside[np.append(0, cut + 1)], inside[np.append(cut, len(inside) - 1)]
     at = owner[first]
     shape = (at - first).astype(np.uint64) << np.uint64(32) | (last - first).astype(np.uint64)
-    span = mixed(mixed(windows[first] + STEP) ^ windows[last]) ^ mixed(shape)
+    span = joined(joined(windows[first], windows[last]), shape)
     base = starts[text[first]]
     return text[first], signed(grams[at]), signed(span), first - base, last - base
 

@@ -83,7 +83,7 @@ def with_periods(docs: DataFrame) -> DataFrame:
     """(doc_id, text): of the documents whose hash ends in 0, the words from some place on repeat with a period."""
     words = F.filter(F.split(F.col("text").cast("string"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     split = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"), words.alias("words"))
-    placed = split.selectExpr("*", "size(words) AS n", "h div 10 AS g").selectExpr("*", "int(g % n) AS a")
+    placed = split.selectExpr("*", "size(words) AS n", "h div 10 AS g").selectExpr("*", "int(g % nullif(n, 0)) AS a")
     timed = placed.selectExpr("*", "int(1 + (n - a) div (3 + g % 8)) AS p")
     cycle = "slice(flatten(array_repeat(slice(words, a + 1, p), int(ceil((n - a) / p)))), 1, n - a)"
     changed = F.expr(f"array_join(concat(slice(words, 1, a), {cycle}), ' ')")
