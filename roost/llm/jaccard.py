@@ -394,11 +394,27 @@ def near_documents(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFr
 
 
 def one_of_each(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
-    """The documents, with all columns as they are, without those that link to one of smaller id.
+    """One row of each component, with all columns as they are: that of smallest doc_id, a null id last.
 
-    Rows that repeat a kept doc_id stay: they are the same document. A null
-    doc_id has no name to go by and stays.
+    Rows are told apart by id and text, so texts that share an id are judged
+    apart; rows that repeat both are copies, of which one stays. Texts without
+    words link with nothing: all of them stay. An empty table gives an empty one.
     """
-    found = near_documents(docs, params)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").cast("bigint").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["_gone"], "left_anti")
+    key = F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    keyed = docs.select(key.alias("doc_id"), "text")
+    found = near_documents(keyed, params).where("n_shingles > 0")
+    # Components name themselves by the smallest key here.
+    found = stage(found.select(F.col("doc_id").alias("_key"), "component_id"), "document-components")
+    several = found.groupBy("component_id").agg(F.count("*").alias("rows")).where("rows > 1").select("component_id")
+    members = stage(found.join(several, "component_id").groupBy("component_id", "_key").agg(F.count("*").alias("rows")), "members")
+    named = docs.select(key.alias("_key"), F.col("doc_id").cast("bigint").alias("id")).join(members, "_key")
+    best = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "_key")).alias("best"))
+    judged = stage(
+        members.join(best, "component_id").select("_key", "rows", (F.col("_key") == F.col("best._key")).alias("best")), "judged"
+    )
+    mark = "_key" + "_" * max(map(len, docs.columns))
+    gone = judged.where("NOT best").select(F.col("_key").alias(mark))
+    repeated = judged.where("best AND rows > 1").select(F.col("_key").alias(mark))
+    left = docs.withColumn(mark, key).join(gone, mark, "left_anti")
+    once = left.join(repeated, mark, "left_semi").dropDuplicates([mark])
+    return left.join(repeated, mark, "left_anti").unionByName(once).select(*docs.columns)

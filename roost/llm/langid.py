@@ -25,13 +25,16 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class LangIdParams:
-    """``sample_rows`` bounds the labelled rows that the classifiers are fitted on."""
+    """``sample_rows`` bounds the labelled rows that the classifiers are fitted on.
+
+    Many languages share them equally, but each has at least ``least_rows``.
+    """
 
     sample_rows: int = 2000
+    least_rows: int = 4
     pair_buckets: int = 4096
     triple_buckets: int = 8192
     ridge: float = 0.02
-    max_languages: int = 256
     ambiguous_below: float = 0.6
     sharpness: float = 6.0
     seed: int = 7
@@ -95,20 +98,26 @@ def fit(docs: DataFrame, learn: Column, params: LangIdParams = LangIdParams()) -
     """Fit on about ``sample_rows`` rows where ``learn`` holds, as many of each language as there are.
 
     Rows without a language or a letter teach nothing. Which rows are taken
-    follows from a hash of doc_id, not from their place. The languages with
-    the most rows are learned if there are more than ``max_languages``.
+    follows from a hash of doc_id and text, not from their place; rows that
+    repeat both count once. Every language has at least the row of its
+    smallest hash; all languages are learned, however many.
     """
     usable = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
-    counted = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(params.max_languages).collect()
-    sizes = dict(sorted((r["lang"], r["count"]) for r in counted))
+    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(params.seed), F.col("text")), F.lit(1 << 30)) / float(1 << 30)
+    usable = usable.select("lang", "text", draw.alias("_draw"))
+    # One row a language: its number of rows and smallest hash.
+    counted = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min("_draw").alias("least")).collect()
+    sizes = {r["lang"]: r for r in sorted(counted, key=lambda r: r["lang"])}
     languages = list(sizes)
     width = params.pair_buckets + params.triple_buckets
     if not languages:
         return LangIdModel([], np.zeros((0, 0)), np.zeros((width, 0)), np.zeros(0), np.zeros(0))
-    each = params.sample_rows / len(languages)
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, each / n))])
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(params.seed)), F.lit(1 << 30)) / float(1 << 30)
-    sample = usable.where(draw < F.coalesce(share[F.col("lang")], F.lit(0.0))).select("lang", "text")
+    each = max(params.sample_rows / len(languages), params.least_rows)
+    most = [(k, max(min(1.0, each / r["n"]), r["least"])) for k, r in sizes.items()]
+    # Broadcast bound: one row a language.
+    shares = F.broadcast(docs.sparkSession.createDataFrame(most, "lang string, _share double"))
+    drawn = usable.join(shares, "lang").where(F.col("_draw") <= F.col("_share"))
+    sample = drawn.groupBy("lang", "_draw").agg(F.min("text").alias("text")).select("lang", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,7 +169,9 @@ def predict(docs: DataFrame, model: LangIdModel, params: LangIdParams = LangIdPa
     """(doc_id, lang_pred, score, ambiguous), one row per document, from whole texts alone.
 
     Null text or no letter: ``und`` with score 0. Without any learned language
-    everything is ``und``; with one, that one is certain.
+    everything is ``und``; with one, that one is certain. Of equally near
+    codewords the language first in the alphabet wins. Repeated rows are
+    answered one by one; whole texts are read, however long.
     """
     ship_package(docs.sparkSession)
 

@@ -75,20 +75,24 @@ def repetition_rates(docs: DataFrame, params: MixParams = MixParams()) -> DataFr
     """(source, rate): the mean number of copies of a document of each source.
 
     Counted over all documents. A null source is a source of its own, called
-    by the empty name in ``weights``; sizes below zero or null count as zero,
-    and a source of size zero gets rate zero.
+    by the empty name in ``weights``; sizes below zero or null count as zero.
+    A source of size zero cannot reach a weight: its documents come ``scale``
+    times on average, and no weight is set aside for it. Where all sizes are
+    zero, documents are counted instead. No documents, no sources: an empty table.
     """
     size = F.greatest(F.coalesce(F.expr(params.size).cast("double"), F.lit(0.0)), F.lit(0.0))
-    sums = stage(docs.groupBy("source").agg(F.sum(size).alias("size")), "source-sizes")
+    rows = F.count("*").cast("double")
+    sums = stage(docs.groupBy("source").agg(F.sum(size).alias("size"), rows.alias("rows")), "source-sizes")
+    if not sums.agg(F.sum("size")).first()[0]:
+        sums = sums.withColumn("size", F.col("rows"))
     named = F.lit(params.default_weight)
     for name, weight in params.weights.items():
         named = F.when(F.coalesce("source", F.lit("")) == name, F.lit(float(weight))).otherwise(named)
     weighed = sums.withColumn("weight", F.when(F.col("size") > 0, named).otherwise(0.0))
     all_size, all_weight = weighed.agg(F.sum("size"), F.sum("weight")).first()
-    if not all_weight:
-        return weighed.select("source", F.lit(0.0).alias("rate"))
-    target = F.lit(all_size * params.scale) * F.col("weight") / F.lit(float(all_weight))
-    return weighed.select("source", F.when(F.col("size") > 0, target / F.col("size")).otherwise(0.0).alias("rate"))
+    target = F.lit((all_size or 0.0) * params.scale) * F.col("weight") / F.lit(float(all_weight or 1.0))
+    rate = F.when(F.col("size") > 0, target / F.col("size")).otherwise(float(params.scale))
+    return weighed.select("source", rate.alias("rate"))
 
 
 def copies(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:

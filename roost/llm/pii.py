@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roost.llm.batches import slices
 from roost.sources.ship import ship_package
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -27,7 +28,18 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 DIGIT_RUN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE_TAIL = re.compile(r"[ ().0-9-]*")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+# Lengths of account numbers by country. Fixed values.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT",
+        26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL", 29: "BR EG PS QA UA", 30: "JO KW MU",
+        31: "MT SC", 32: "LC",
+    }.items()
+    for country in countries.split()
+}
 LONG_NUMBER = re.compile(r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){6,18}(?![0-9A-Za-z])")
 
 
@@ -115,10 +127,24 @@ def phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def ibans(text: str) -> Iterator[tuple[int, int]]:
-    for found in IBAN.finditer(text):
-        letters = found.group().replace(" ", "")
-        if 15 <= len(letters) <= 34 and mod97(letters):
-            yield found.span()
+    """A number has its country's length; of an unlisted country, the longest that ends a word and passes its check.
+
+    Capitals or further numbers behind it do not belong to it; they are read next.
+    """
+    found = IBAN.search(text)
+    while found:
+        start, most = found.span()
+        # Ends inside the proposal at which no letter or digit follows.
+        ends = [e for e in range(most, start + 14, -1) if text[e - 1] != " " and not text[e : e + 1].isalnum()]
+        right = IBAN_LENGTHS.get(text[start : start + 2])
+        free = start + 4
+        for end in ends:
+            letters = text[start:end].replace(" ", "")
+            if (len(letters) == right if right else 15 <= len(letters) <= 34) and mod97(letters):
+                yield start, end
+                free = end
+                break
+        found = IBAN.search(text, free)
 
 
 def numbers(text: str) -> Iterator[tuple[int, int]]:
@@ -230,11 +256,11 @@ def redact(docs: DataFrame, params: PiiParams = PiiParams()) -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (p for batch in batches for p in slices(batch, "text")):
             texts = [
-                None if t is None else redacted(t, find_spans(t, params)) for t in batch.column("text").to_pylist()
+                None if t is None else redacted(t, find_spans(t, params)) for t in (v.as_py() for v in part.column("text"))
             ]
-            columns = {c: batch.column(c) for c in names}
+            columns = {c: part.column(c) for c in names}
             columns["text"] = pa.array(texts, pa.string())
             if "n_chars" in columns:
                 kind = columns["n_chars"].type

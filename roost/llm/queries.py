@@ -25,8 +25,8 @@ from roost.llm import (
     warc,
 )
 
-# Sources weigh the same in the mix; their sizes are counted in characters.
-MIX = mixing.MixParams(size="n_chars")
+# Sources weigh the same in the mix; their sizes are counted in characters, of the text where no number is given.
+MIX = mixing.MixParams(size="coalesce(n_chars, length(text))")
 CONTROL_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 

@@ -26,11 +26,17 @@ def quoted(text: str) -> str:
 
 def mixing_sql(seed: str, scale: float) -> str:
     return f"""
-WITH RECURSIVE sizes AS (SELECT source, sum(greatest(coalesce(n_chars, 0), 0))::DOUBLE AS size FROM documents GROUP BY source),
+WITH RECURSIVE counted_chars AS (
+    SELECT source, count(*)::DOUBLE AS n, sum(greatest(coalesce(n_chars, length(text), 0), 0))::DOUBLE AS size
+    FROM documents GROUP BY source
+),
+sizes AS (SELECT source, CASE WHEN (SELECT sum(size) FROM counted_chars) > 0 THEN size ELSE n END AS size FROM counted_chars),
 weighed AS (SELECT *, CASE WHEN size > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS weight FROM sizes),
 rates AS (
-    SELECT source, (SELECT sum(size) FROM sizes) * {scale}::DOUBLE * weight / (SELECT sum(weight) FROM weighed) / size AS rate
-    FROM weighed WHERE size > 0
+    SELECT source, CASE WHEN size > 0
+        THEN (SELECT sum(size) FROM sizes) * {scale}::DOUBLE * weight / (SELECT sum(weight) FROM weighed) / size
+        ELSE {scale}::DOUBLE END AS rate
+    FROM weighed
 ),
 parts AS (SELECT *, greatest(1, ceil(rate / {LARGEST_STEP}::DOUBLE))::INT AS steps FROM rates),
 terms AS (

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roost.llm.batches import slices
 from roost.sources.ship import ship_package
 from roost.sources.stage import discard, stage
 
@@ -243,13 +244,16 @@ def score_documents(docs: DataFrame, model: ChainModel, params: ToxicityParams =
 
 
 def drop_toxic(docs: DataFrame, model: ChainModel, params: ToxicityParams = ToxicityParams()) -> DataFrame:
-    """The documents that are not toxic, with all their columns as they are, whatever their names."""
+    """The documents that are not toxic, with all their columns as they are, whatever their names.
+
+    A null text counts as empty. Texts are held in slices, not a whole batch at a time.
+    """
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer(model, params)
-        for batch in batches:
-            keep = [score(t)[-1] < params.threshold for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        for part in (p for batch in batches for p in slices(batch, "text")):
+            keep = [score(t.as_py())[-1] < params.threshold for t in part.column("text")]
+            yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -147,6 +147,17 @@ def test_jaccard_odd_rows(spark):
     assert got == Counter(want)
     assert jaccard.near_documents(frame.limit(0)).count() == 0
     assert jaccard.one_of_each(frame.limit(0)).count() == 0
+    left = Counter((r["doc_id"], r["text"]) for r in jaccard.one_of_each(frame).collect())
+    assert left == Counter([(7, same), (None, None), (10, None), (11, "é É a b c"), (20, close + " 1")])
+
+
+def test_one_of_each_judges_texts_not_ids(spark):
+    a, b = "a b c d e f g h", "q r s t u v w x"
+    rows = [(1, a), (5, a), (5, b), (None, a), (None, a)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("_key", F.lit("own"))
+    left = jaccard.one_of_each(frame)
+    assert left.columns == frame.columns
+    assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == [(1, a), (5, b)]
 
 
 # ---- mixing -------------------------------------------------------------------------------
@@ -172,7 +183,7 @@ def test_mixing(spark):
     frame = spark.createDataFrame(made, SCHEMA).withColumn("copy", F.lit("own"))
     params = mixing.MixParams(weights={"big": 0.2, "small": 0.3, "tiny": 0.3, "": 0.2}, size="n_chars", scale=2.0)
     rates = {r["source"]: r["rate"] for r in mixing.repetition_rates(frame, params).collect()}
-    assert rates["empty"] == 0
+    assert rates["empty"] == 2.0
     unit = lambda *p: int(hashlib.md5(":".join(map(str, p)).encode()).hexdigest()[:13], 16) / 2**52
     want = {r[0]: plain_poisson(rates[r[3]], lambda i, d=r[0]: unit("mix", d, i)) for r in made if r[0] is not None}
     out = mixing.mix_numbered(frame, params).where("doc_id IS NOT NULL").collect()
@@ -189,6 +200,17 @@ def test_mixing(spark):
     assert mixing.mix(frame.limit(0), params).count() == 0
 
 
+def test_mixing_without_sizes(spark):
+    """Sources whose sizes are null, for some or all, keep their documents."""
+    made = [(i, "t" * (i % 5), "en", "ab"[i % 2], None if i % 2 else 10, "", "", "") for i in range(2000)]
+    frame = spark.createDataFrame(made, SCHEMA)
+    for size in ("n_chars", "coalesce(n_chars, length(text))", "CAST(NULL AS INT)"):
+        shares = Counter(r["source"] for r in mixing.mix(frame, mixing.MixParams(size=size)).collect())
+        assert min(shares["a"], shares["b"]) > 500
+    rates = mixing.repetition_rates(frame, mixing.MixParams(size="CAST(NULL AS INT)", weights={"a": 3.0})).collect()
+    assert {r["source"]: r["rate"] for r in rates} == {"a": 1.5, "b": 0.5}
+
+
 # ---- archives -----------------------------------------------------------------------------
 
 
@@ -251,6 +273,23 @@ def test_query_and_twin(spark, name):
     assert listed(df, *columns) == want
 
 
+def test_pipeline_stages_on_odd_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("_key", F.lit("own")).withColumn("ids", F.lit(1))
+    nulls = docs.limit(1).selectExpr(*[f"CAST(NULL AS {t}) AS {c}" for c, t in docs.dtypes])
+    some = docs.where("doc_id < 20").unionByName(nulls).unionByName(nulls)
+    for table in (docs.limit(0), some):
+        at = table
+        for name, step in corpus_pipeline.STAGES:
+            out = step(spark, at, str(SF))
+            if name != "bpe":
+                assert out.columns == docs.columns
+            got = out.collect()
+            assert (len(got) > 0) == (table is some)
+            if name in ("toxicity", "jaccard", "pii"):
+                assert sum(r["text"] is None for r in got) == (2 if table is some else 0)
+            at = spark.createDataFrame(got, out.schema)
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     by_name, at = {}, docs

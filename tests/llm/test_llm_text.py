@@ -143,6 +143,9 @@ def test_pii_checks_and_context():
     assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB82WEST12345698765431")
     spans = pii.find_spans("IBAN GB82 WEST 1234 5698 7654 32 here")
     assert [(k, s, e) for k, s, e, _ in spans] == [("iban", 5, 32)] and spans[0][3] == 1.0
+    texts = ("GB82 WEST 1234 5698 7654 32 EUR", "GB82WEST12345698765432 AND DE89 3704 0044 0532 0130 00.", "XX GB82WEST12345698765432X")
+    found = [[t[s:e] for k, s, e, _ in pii.find_spans(t) if k == "iban"] for t in texts]
+    assert found == [["GB82 WEST 1234 5698 7654 32"], ["GB82WEST12345698765432", "DE89 3704 0044 0532 0130 00"], []]
     assert pii.find_spans("passport 123456789")[0][0] == "number"
     assert pii.find_spans("there were 123456789 of them") == []
     sure, unsure = (pii.find_spans(t)[0][3] for t in ("host 10.0.0.1", "about 10.0.0.1"))
@@ -173,6 +176,16 @@ def test_languages(spark, odd):
     assert langid.identify_languages(odd.limit(0)).count() == 0
 
 
+def test_languages_learned_from_repeated_rows_and_many_languages(spark):
+    repeated = spark.range(3000).selectExpr("id % 2 AS doc_id", "concat('some words ', id % 2) AS text", "'en' AS lang")
+    assert {r["lang_pred"] for r in langid.identify_languages(repeated).select("lang_pred").distinct().collect()} <= {"en", "und"}
+    words = spark.range(1200).selectExpr("id AS doc_id", "concat_ws(' ', array_repeat(md5(string(id % 300)), 5)) AS text", "concat('l', id % 300) AS lang")
+    model = langid.fit(words, F.lit(True))
+    assert len(model.languages) == 300
+    found = langid.predict(words, model).join(words.select("doc_id", "lang"), "doc_id")
+    assert found.where("lang = lang_pred").count() > 1100
+
+
 def test_language_is_not_taken_from_columns(spark, docs):
     params = langid.LangIdParams()
     model = langid.fit(docs, F.lit(True), params)
