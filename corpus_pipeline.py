@@ -28,7 +28,7 @@ def no_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources of equal weight, counted in characters: documents repeat or go as drawn."""
-    return mixing.mix(docs, mixing.MixParams(size="n_chars"))
+    return mixing.mix(docs, mixing.MixParams(size="coalesce(n_chars, length(text))"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
