@@ -20,7 +20,12 @@ yet known to hang together: a group of near copies costs a few comparisons a
 member, and no link between different components is missed. A larger field is
 settled entry by entry over many tasks: all members of an entry are compared
 with its smallest one, what is linked is joined, and what is still apart goes
-on.
+on. Entries that stay open, such as a template that many unlike documents
+share, are cut into blocks; each pair of blocks is one group, whose overlaps
+are counted as a matrix product.
+
+Tokens of very many classes are told by every 64th class. They need no shuffle
+of their own: their classes are counted map-side and joined by broadcast.
 
 Tokens and classes are 64-bit hashes: two different shingles or sets are taken
 for the same with probability 2^-64 a pair.
@@ -38,6 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roost.llm.batches import slices
 from roost.operators.components import connected
 from roost.sources.ship import ship_package
 from roost.sources.stage import discard, stage
@@ -49,7 +55,8 @@ class JoinParams:
 
     ``field_classes`` and ``field_tokens``: what a field may hold to be settled by one task.
     For larger fields, ``small``: entries of at most so many classes are compared
-    in full; ``rounds``: after so many rounds by smallest member, all others are.
+    in full; ``rounds``: after so many rounds by smallest member, all others are,
+    in blocks of ``block_classes`` classes and ``block_tokens`` tokens.
     ``rare``: tokens in at most so many classes are indexed alone.
     """
 
@@ -60,9 +67,16 @@ class JoinParams:
     rounds: int = 10
     field_classes: int = 4000
     field_tokens: int = 2_000_000
+    block_classes: int = 2000
+    block_tokens: int = 200_000
 
 
 BROADCAST_IDS = 1_000_000
+# Crowded tokens: of every so many classes one is looked at; tokens of more than so many of these
+# are crowded; there are at most so many.
+CROWDED_SAMPLE = 64
+CROWDED_FROM = 16
+MAX_CROWDED = 100_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -110,7 +124,7 @@ def document_sets(docs: DataFrame, params: JoinParams, prefix: bool) -> DataFram
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for whole in batches for p in slices(whole, "raw")):
             cls, sizes, tokens = [], [], []
             for raw in batch.column("raw"):
                 found = shingles(raw.as_py(), params.words)
@@ -136,15 +150,32 @@ def document_sets(docs: DataFrame, params: JoinParams, prefix: bool) -> DataFram
     return narrow.mapInArrow(run, "doc_id bigint, cls bigint, n int, tokens array<bigint>")
 
 
+def crowded_tokens(tokens: DataFrame) -> DataFrame:
+    """(token): tokens that very many classes hold, judged by every 64th class; the choice is one of route only.
+
+    ``tokens`` has each class's tokens once. More than MAX_CROWDED cannot reach the share asked for.
+    """
+    some = tokens.where(F.pmod("cls", F.lit(CROWDED_SAMPLE)) == 0).groupBy("token").agg(F.count("*").alias("n"))
+    some = stage(some.where(F.col("n") > CROWDED_FROM), "crowded-tokens")
+    total = some.agg(F.sum("n")).first()[0] or 0
+    return some.where(F.col("n") > total // MAX_CROWDED).select("token")
+
+
 def candidates(prefixes: DataFrame, params: JoinParams) -> DataFrame:
     """Classes with enough prefix tokens that another class has in its prefix as well: (cls, doc_id)."""
     classes = prefixes.where("cls IS NOT NULL").groupBy("cls")
     one = classes.agg(F.min(F.struct("doc_id", "n")).alias("one")).select("cls", "one.doc_id", "one.n")
     entries = classes.agg(F.first("tokens").alias("tokens")).select("cls", F.explode("tokens").alias("token"))
+    crowded = crowded_tokens(entries)
+    some = not crowded.isEmpty()
     # One shuffle serves the count and the join.
-    entries = entries.repartition("token")
-    shared = entries.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1").select("token")
-    found = entries.join(shared, "token").groupBy("cls").agg(F.count("*").alias("hits"))
+    ordinary = (entries.join(F.broadcast(crowded), "token", "left_anti") if some else entries).repartition("token")
+    shared = ordinary.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1").select("token")
+    found = ordinary.join(shared, "token").select("cls")
+    if some:
+        # Crowded tokens are shared by what they are.
+        found = found.unionByName(entries.join(F.broadcast(crowded), "token").select("cls"))
+    found = found.groupBy("cls").agg(F.count("*").alias("hits"))
     least = F.greatest(F.lit(1), F.floor(needed(F.col("n"), params.percent) / 20))
     return found.join(one, "cls").where(F.col("hits") >= least).select("cls", "doc_id")
 
@@ -166,12 +197,20 @@ def class_sets(docs: DataFrame, chosen: DataFrame, params: JoinParams) -> DataFr
 def index_entries(sets: DataFrame, params: JoinParams) -> DataFrame:
     """(key, cls, n): rare prefix tokens, and combinations of two frequent ones of a hash group."""
     ship_package(sets.sparkSession)
-    tokens = sets.select("cls", "n", F.explode("tokens").alias("token")).repartition("token")
-    holders = tokens.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1")
+    tokens = sets.select("cls", "n", F.explode("tokens").alias("token"))
+    crowded = crowded_tokens(tokens)
+    some = not crowded.isEmpty()
+    ordinary = (tokens.join(F.broadcast(crowded), "token", "left_anti") if some else tokens).repartition("token")
+    holders = ordinary.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1")
+    held = ordinary.join(holders, "token")
+    if some:
+        many = tokens.join(F.broadcast(crowded), "token")
+        # Counted map-side; as few rows as there are crowded tokens.
+        counts = many.groupBy("token").agg(F.count("*").alias("holders"))
+        held = held.unionByName(many.join(F.broadcast(counts), "token"))
     # Tokens of one class alone come first in the order; only their number matters.
     ordered = (
-        tokens.join(holders, "token")
-        .groupBy("cls", "n")
+        held.groupBy("cls", "n")
         .agg(F.sort_array(F.collect_list(F.struct("holders", "token"))).alias("shared"))
         .where(F.size("shared") >= needed(F.col("n"), params.percent))
     )
@@ -263,7 +302,7 @@ def within_fields(members: DataFrame, params: JoinParams) -> DataFrame:
 def labelled(field: list[tuple[int, np.ndarray, np.ndarray]], percent: int) -> pa.RecordBatch:
     """Components of one field: (class, tokens, keys) in, the linked classes with their smallest one out."""
     n = len(field)
-    sets = [set(tokens.tolist()) for _, tokens, _ in field]
+    sets = [np.sort(tokens) for _, tokens, _ in field]
     above = list(range(n))
 
     def top(i: int) -> int:
@@ -272,18 +311,21 @@ def labelled(field: list[tuple[int, np.ndarray, np.ndarray]], percent: int) -> p
             i = above[i]
         return i
 
-    apart: set[int] = set()
+    apart = np.zeros((n, n), dtype=bool)
 
     def links(a: int, b: int) -> bool:
-        if a > b:
+        if len(sets[a]) > len(sets[b]):
             a, b = b, a
-        x, y = len(sets[a]), len(sets[b])
-        if min(x, y) * 100 < max(x, y) * percent or a * n + b in apart:
+        few, many = sets[a], sets[b]
+        x, y = len(few), len(many)
+        if x * 100 < y * percent or apart[a, b]:
             return False
-        both = len(sets[a] & sets[b])
+        at = np.searchsorted(many, few)
+        at[at == y] = 0
+        both = int(np.count_nonzero(many[at] == few))
         if both * 100 >= (x + y - both) * percent:
             return True
-        apart.add(a * n + b)
+        apart[a, b] = apart[b, a] = True
         return False
 
     keys = np.concatenate([k for _, _, k in field])
@@ -328,16 +370,104 @@ def linked(pairs: DataFrame, sets: DataFrame, params: JoinParams) -> DataFrame:
     return joined.where(both * 100 >= (F.col("nu") + F.col("nv") - both) * params.percent).select("u", "v")
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each set on the left shares with each on the right, as a product of 0/1 matrices."""
+    row = [np.repeat(np.arange(len(side)), list(map(len, side))) for side in (left, right)]
+    flat = [np.concatenate(side) for side in (left, right)]
+    common, first, second = np.intersect1d(np.unique(flat[0]), np.unique(flat[1])), [], []
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    if not len(common):
+        return out
+    for tokens, owner in zip(flat, row, strict=True):
+        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+        known = common[at] == tokens
+        order = np.argsort(at[known], kind="stable")
+        first.append(at[known][order])
+        second.append(owner[known][order])
+    width = 1024
+    for start in range(0, len(common), width):
+        part = []
+        for size, at, owner in zip((len(left), len(right)), first, second, strict=True):
+            low, high = np.searchsorted(at, (start, start + width))
+            m = np.zeros((size, width), dtype=np.float32)
+            m[owner[low:high], at[low:high] - start] = 1.0
+            part.append(m)
+        out += part[0] @ part[1].T
+    return out
+
+
+def joined_pairs(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of n rows the smallest one that it reaches over the pairs (a, b)."""
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, a, low[b])
+        np.minimum.at(new, b, low[a])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
+
+
+def links_by_block(entries: DataFrame, sets: DataFrame, params: JoinParams) -> DataFrame:
+    """(u, v): links inside the entries, as many as join what hangs together in a group; no pair is written out.
+
+    An entry is cut into blocks, and each pair of blocks is a group of its own.
+    """
+    ship_package(sets.sparkSession)
+    sizes = entries.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("tokens"))
+    pieces = F.greatest(F.ceil(F.col("members") / params.block_classes), F.ceil(F.col("tokens") / params.block_tokens))
+    placed = (
+        entries.select("key", "cls")
+        .join(sizes.select("key", pieces.cast("int").alias("pieces")), "key")
+        .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("pieces")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+        .select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "cls")
+    )
+    group = ["key", "low", "high"]
+    grouped = placed.join(sets.select("cls", "tokens"), "cls").repartition(*group).sortWithinPartitions(*group)
+
+    def judged(held: list[tuple[int, int, np.ndarray]], low: int, high: int) -> pa.RecordBatch:
+        sides = [[i for i, h in enumerate(held) if h[0] == part] for part in (low, high)]
+        left, right = ([held[i][2] for i in side] for side in sides)
+        found = np.zeros((0, 2), dtype=np.int64)
+        if left and right:
+            both = overlaps(left, right)
+            total = np.add.outer(list(map(len, left)), list(map(len, right)))
+            found = np.argwhere(both * 100 >= (total - both) * params.percent)
+        a, b = np.array(sides[0], dtype=np.int64)[found[:, 0]], np.array(sides[1], dtype=np.int64)[found[:, 1]]
+        root = joined_pairs(a, b, len(held))
+        at = np.flatnonzero(root != np.arange(len(held)))
+        cls = np.array([h[1] for h in held], dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(cls[root[at]]), pa.array(cls[at])], ["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in (*group, "own", "cls")]
+            ends, values = batch.column("tokens").offsets.to_numpy(), batch.column("tokens").values.to_numpy()
+            for i, (key, low, high, own, cls) in enumerate(zip(*columns, strict=True)):
+                if (key, low, high) != at and held:
+                    yield judged(held, *at[1:])
+                    held = []
+                at = (key, low, high)
+                held.append((own, cls, values[ends[i] : ends[i + 1]].copy()))
+        if held:
+            yield judged(held, *at[1:])
+
+    return grouped.mapInArrow(run, "u bigint, v bigint")
+
+
 def settle(entries: DataFrame, sets: DataFrame, params: JoinParams) -> DataFrame | None:
     """(node, root) over all links between classes; None if there are none."""
     counted = entries.join(entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "key")
     open_entries = stage(counted.select("key", "cls", "n", F.col("cls").alias("comp")), "join-entries")
     links: DataFrame | None = None
     roots: DataFrame | None = None
-    for turn in range(params.rounds + 1):
+    for _ in range(params.rounds):
         sizes = open_entries.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("cls", "n", "comp")).alias("least"))
         sized = open_entries.join(sizes, "key")
-        full = F.col("members") <= params.small if turn < params.rounds else F.lit(True)
+        full = F.col("members") <= params.small
         apart = (F.col("u_comp") != F.col("v_comp")) & fits(F.col("u_n"), F.col("v_n"), params.percent)
         with_least = sized.where(~full & (F.col("cls") != F.col("least.cls"))).select(
             F.col("least.cls").alias("u"), F.col("least.n").alias("u_n"), F.col("least.comp").alias("u_comp"),
@@ -364,8 +494,10 @@ def settle(entries: DataFrame, sets: DataFrame, params: JoinParams) -> DataFrame
         discard(open_entries)
         open_entries = following
         if open_entries.isEmpty():
-            break
-    return roots
+            return roots
+    found = stage(links_by_block(open_entries, sets, params), "join-links")
+    links = found if links is None else links.unionByName(found)
+    return roots if found.isEmpty() else connected(links)
 
 
 def near_documents(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
@@ -383,12 +515,15 @@ def near_documents(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFr
     sets = stage(class_sets(docs, chosen, params), "join-sets")
     roots = components_of(stage(index_entries(sets, params), "join-index"), sets, params)
     if roots is None:
-        rooted = rows.withColumn("root", F.col("cls"))
+        component = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("component"))
     else:
         named = roots.select(F.col("node").alias("cls"), "root")
-        rooted = rows.join(named, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    least = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component"))
-    return rooted.join(least, "root", "left").select(
+        # Per class, not per document: a class may have most of the documents.
+        classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least")).join(named, "cls", "left")
+        rooted = classes.select("cls", "least", F.coalesce("root", "cls").alias("root"))
+        least = rooted.groupBy("root").agg(F.min("least").alias("component"))
+        component = rooted.join(least, "root").select("cls", "component")
+    return rows.join(component, "cls", "left").select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
 

@@ -216,10 +216,10 @@ def find_pii(docs: DataFrame, params: PiiParams = PiiParams()) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("kind", "start", "end", "score")
-        for batch in batches:
+        for batch in (p for whole in batches for p in slices(whole, "text")):
             found = [
-                [dict(zip(names, s, strict=True)) for s in find_spans(t or "", params)]
-                for t in batch.column("text").to_pylist()
+                [dict(zip(names, s, strict=True)) for s in find_spans(t.as_py() or "", params)]
+                for t in batch.column("text")
             ]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(span))], ["doc_id", "spans"])
 

@@ -225,8 +225,8 @@ def score_documents(docs: DataFrame, model: ChainModel, params: ToxicityParams =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer(model, params)
-        for batch in batches:
-            found = [score(t) for t in batch.column("text").to_pylist()]
+        for batch in (p for whole in batches for p in slices(whole, "text")):
+            found = [score(t.as_py()) for t in batch.column("text")]
             bad = [s[-1] >= params.threshold for s in found]
             yield pa.RecordBatch.from_arrays(
                 [

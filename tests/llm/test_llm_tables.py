@@ -135,6 +135,22 @@ def test_jaccard(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(i for i, (_, c) in got.items() if i == c)
 
 
+def test_jaccard_crowded_tokens_and_blocks(spark, monkeypatch):
+    """Crowded tokens by broadcast, and entries that stay open settled in blocks, change no result."""
+    texts = varied_texts()
+    rng = np.random.default_rng(8)
+    # A template in three quarters of each text; the rest is shared by few, so that all of it counts.
+    template = " ".join(f"t{i}" for i in range(75))
+    parts = [" ".join(f"r{rng.integers(60)}" for _ in range(6)) for _ in range(60)]
+    texts += [" ".join([template, *(parts[i] for i in rng.choice(60, 4))]) for _ in range(300)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    monkeypatch.setattr(jaccard, "CROWDED_SAMPLE", 1)
+    monkeypatch.setattr(jaccard, "CROWDED_FROM", 5)
+    few = jaccard.JoinParams(rare=2, small=1, rounds=1, field_classes=20, field_tokens=5000, block_classes=30, block_tokens=3000)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_documents(frame, few).collect()}
+    assert got == plain_components(list(range(len(texts))), texts)
+
+
 def test_jaccard_odd_rows(spark):
     same = "a b c d e f g h i j k l"
     close = " ".join("abcdefghijklmnopqrstuvwxyz")
