@@ -26,7 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roost.sources.ship import ship_package
+from roost.llm.batches import ready_workers, slices
+
 
 # The Unicode property White_Space: fixed values.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -277,18 +278,6 @@ def vocabulary(path: str) -> Bpe:
     return Bpe(path)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = TEXT_CHARS) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces whose values in ``column`` hold about ``most`` characters, so that little is held split."""
-    start, held = 0, 0
-    for i, value in enumerate(batch.column(column)):
-        held += len(value.as_py() or "")
-        if held >= most:
-            yield batch.slice(start, i + 1 - start)
-            start, held = i + 1, 0
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def encoded(bpe: Bpe, column: pa.Array) -> list[list[int]]:
     """Ids of each text; a null one counts as empty."""
     return bpe.encode_all([t or "" for t in column.to_pylist()])
@@ -326,13 +315,13 @@ def tokenize_documents(
 
 def with_arrow(rows: DataFrame, source: str, path: str, added: dict[str, str], made) -> DataFrame:
     """Add columns that ``made`` computes from ``source``; input columns so called go."""
-    ship_package(rows.sparkSession)
+    ready_workers(rows.sparkSession)
     kept = [c for c in rows.columns if c not in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in batches:
-            for part in slices(batch, source):
+            for part in slices(batch, source, TEXT_CHARS):
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in kept), *made(bpe, part.column(source))], [*kept, *added]
                 )
@@ -347,12 +336,12 @@ def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
     One pass: the ids of all documents are several times their texts, and only
     their digests are wanted here. A null text counts as empty.
     """
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         numbers = {i: str(i) for i in bpe.tokens}
-        for part in (p for batch in batches for p in slices(batch, "text")):
+        for part in (p for batch in batches for p in slices(batch, "text", TEXT_CHARS)):
             found = encoded(bpe, part.column("text"))
             first = [sha256(" ".join([numbers[i] for i in ids]).encode()).hexdigest() for ids in found]
             second = [sha256(bpe.decode(ids).encode("utf-8")).hexdigest() for ids in found]

@@ -43,9 +43,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roost.llm.batches import slices
+from roost.llm.batches import ready_workers, slices
 from roost.operators.components import connected
-from roost.sources.ship import ship_package
 from roost.sources.stage import discard, stage
 
 
@@ -121,7 +120,7 @@ def extra(n: int) -> int:
 
 def document_sets(docs: DataFrame, params: JoinParams, prefix: bool) -> DataFrame:
     """(doc_id, cls, n, tokens): the set, or only its prefix in hash order. ``cls`` is null for an empty set."""
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for whole in batches for p in slices(whole, "raw")):
@@ -196,7 +195,7 @@ def class_sets(docs: DataFrame, chosen: DataFrame, params: JoinParams) -> DataFr
 
 def index_entries(sets: DataFrame, params: JoinParams) -> DataFrame:
     """(key, cls, n): rare prefix tokens, and combinations of two frequent ones of a hash group."""
-    ship_package(sets.sparkSession)
+    ready_workers(sets.sparkSession)
     tokens = sets.select("cls", "n", F.explode("tokens").alias("token"))
     crowded = crowded_tokens(tokens)
     some = not crowded.isEmpty()
@@ -277,7 +276,7 @@ def components_of(entries: DataFrame, sets: DataFrame, params: JoinParams) -> Da
 
 def within_fields(members: DataFrame, params: JoinParams) -> DataFrame:
     """(node, root) of the classes that link with others of their field; staged."""
-    ship_package(members.sparkSession)
+    ready_workers(members.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
@@ -414,7 +413,7 @@ def links_by_block(entries: DataFrame, sets: DataFrame, params: JoinParams) -> D
 
     An entry is cut into blocks, and each pair of blocks is a group of its own.
     """
-    ship_package(sets.sparkSession)
+    ready_workers(sets.sparkSession)
     sizes = entries.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("tokens"))
     pieces = F.greatest(F.ceil(F.col("members") / params.block_classes), F.ceil(F.col("tokens") / params.block_tokens))
     placed = (

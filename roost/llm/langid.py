@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roost.sources.ship import ship_package
+from roost.llm.batches import ready_workers, slices
+
 
 UNKNOWN = "und"
 
@@ -126,7 +127,7 @@ def fit(docs: DataFrame, learn: Column, params: LangIdParams = LangIdParams()) -
             ]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(packed, pa.binary())], ["lang", "x"])
 
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     rows = sample.mapInArrow(vectors, "lang string, x binary").collect()
     # A hash of doc_id orders no rows here: sorting makes the sums the same however tasks end.
     rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
@@ -173,10 +174,10 @@ def predict(docs: DataFrame, model: LangIdModel, params: LangIdParams = LangIdPa
     codewords the language first in the alphabet wins. Repeated rows are
     answered one by one; whole texts are read, however long.
     """
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for whole in batches for p in slices(whole, "text")):
             texts = batch.column("text").to_pylist()
             known = [i for i, t in enumerate(texts) if model.languages and has_letter(t)]
             lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)

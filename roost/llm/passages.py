@@ -32,9 +32,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roost.llm.batches import slices
+from roost.llm.batches import ready_workers, slices
 from roost.operators.skew import split_hot
-from roost.sources.ship import ship_package
 from roost.sources.stage import discard, stage
 
 
@@ -141,7 +140,7 @@ def identified(docs: DataFrame) -> DataFrame:
 
 def anchors(docs: DataFrame, params: PassageParams) -> DataFrame:
     """(anchor, span, doc_id, body, first, last) of every anchor of every document that has an id."""
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for batch in batches for p in slices(batch, "raw")):
@@ -262,7 +261,7 @@ def remove_repeats(docs: DataFrame, params: PassageParams = PassageParams()) ->
     to each other and take nothing from one another. An empty table gives an
     empty one; other columns are ignored, whatever their names.
     """
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     found = repeats(docs, params)
     per_doc = found.groupBy("doc_id", "body").agg(F.collect_list(F.struct("first", "last", "steps")).alias("spans"))
     rows = identified(docs).join(per_doc, ["doc_id", "body"], "left").select("doc_id", "raw", "spans")

@@ -29,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roost.llm.batches import slices
-from roost.sources.ship import ship_package
+from roost.llm.batches import ready_workers, slices
 
 
 @dataclass(frozen=True)
@@ -222,7 +221,7 @@ def find_runs(docs: DataFrame, params: RunParams = RunParams()) -> DataFrame:
     whatever their names. A whole text is one task's work, about 1 KB of memory
     a word of its stretches.
     """
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for batch in batches for p in slices(batch, "raw")):

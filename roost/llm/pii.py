@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roost.llm.batches import slices
-from roost.sources.ship import ship_package
+from roost.llm.batches import ready_workers, slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "number")
@@ -211,7 +210,7 @@ def find_pii(docs: DataFrame, params: PiiParams = PiiParams()) -> DataFrame:
     A null text counts as empty: no spans. Other columns are ignored; repeated
     rows are answered one by one.
     """
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +251,7 @@ def redact(docs: DataFrame, params: PiiParams = PiiParams()) -> DataFrame:
 
     All other columns, whatever their names, pass unchanged; a null text stays null.
     """
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roost.llm.batches import slices
-from roost.sources.ship import ship_package
+from roost.llm.batches import ready_workers, slices
 from roost.sources.stage import stage
 
 
@@ -130,7 +129,7 @@ class Shard:
 
 def index_documents(docs: DataFrame, vocabulary: dict[bytes, int], params: RankParams) -> DataFrame:
     """One row per shard: its documents and, term by term, which of them hold the term how often."""
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     most = params.shard_bytes
 

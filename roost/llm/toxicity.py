@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roost.llm.batches import slices
-from roost.sources.ship import ship_package
+from roost.llm.batches import ready_workers, slices
 from roost.sources.stage import discard, stage
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -83,7 +82,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], params:
                 ["doc_id", *names, "parts"],
             )
 
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id bigint, " + "".join(f"{n} boolean, " for n in names) + "parts array<string>"
     sampled = narrow.join(taken, "doc_id").select("doc_id", *names, "text")
@@ -220,7 +219,7 @@ def score_documents(docs: DataFrame, model: ChainModel, params: ToxicityParams =
     A null text counts as empty. ``toxic``: the last category's probability
     reaches the threshold; ``kept`` is its opposite.
     """
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     names = [f"p_{c}" for c in model.categories]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +247,7 @@ def drop_toxic(docs: DataFrame, model: ChainModel, params: ToxicityParams = Toxi
 
     A null text counts as empty. Texts are held in slices, not a whole batch at a time.
     """
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer(model, params)

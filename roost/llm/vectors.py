@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roost.llm.batches import ready_workers
 from roost.operators.components import connected
-from roost.sources.ship import ship_package
 from roost.sources.stage import stage
 
 
@@ -59,7 +59,7 @@ def vector_classes(rows: DataFrame) -> DataFrame:
 
 def bucket_keys(classes: DataFrame, params: VectorParams) -> DataFrame:
     """Adds ``keys``: one bucket number per table. Vectors of each length have hyperplanes of their own."""
-    ship_package(classes.sparkSession)
+    ready_workers(classes.sparkSession)
     tables, bits = params.tables(), params.bits
     powers = 1 << np.arange(bits, dtype=np.int64)
 
@@ -136,7 +136,7 @@ def lowest_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def verified(grouped: DataFrame, params: VectorParams) -> DataFrame:
     """(cls, links, root): what each group adds to a class's links, and a link to the group's smallest."""
-    ship_package(grouped.sparkSession)
+    ready_workers(grouped.sparkSession)
     schema = pa.schema([("cls", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
     def judge(rows: list[dict]) -> pa.RecordBatch | None:

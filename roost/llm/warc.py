@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roost.sources.ship import ship_package
+from roost.llm.batches import ready_workers
 from roost.sources.stage import new_path, stage
 
 CHUNK_BYTES = 256 * 1024
@@ -110,7 +110,7 @@ def header(row: dict) -> bytes:
 
 def write_archives(chunks: DataFrame, folder: str) -> DataFrame:
     """Write one archive per task below ``folder``; returns the stored list (path, n_records)."""
-    ship_package(chunks.sparkSession)
+    ready_workers(chunks.sparkSession)
     names = ("page_id", "url", "refers_to", "n_bytes", "sha1", "chunk", "last")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +233,7 @@ CHUNK_ARROW = pa.schema(
 
 def read_archives(archives: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES, with_data: bool = True) -> DataFrame:
     """The chunk rows of all listed archives; without data, every payload is still read and digested."""
-    ship_package(archives.sparkSession)
+    ready_workers(archives.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = fs.FileSystem.from_uri(folder)
