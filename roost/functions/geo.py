@@ -168,19 +168,24 @@ def with_wkt_edges(df: DataFrame, wkt: str, name: str = "edges") -> DataFrame:
     )
 
 
-def inside_edges(edges, lon, lat) -> Column:
-    """Even-odd test: the ray from the point towards larger x crosses an odd number of edges.
-
-    Holes and several parts need no special care. An edge owns its lower end
-    only, so a ray through a vertex counts once; points on an outline fall on
-    one side of it by that rule.
+def inside_cell(edges, odd, east, lon: Column, lat: Column) -> Column:
+    """Even-odd test of a point in a cell whose ``edges`` are listed: the ray towards larger x crosses an odd number of edges.
+
+    ``odd`` counts the edges that cross the line of the cell's ``east`` side above
+    the cell. A listed edge that crosses that line at the cell's height (``here``)
+    adds to it if its end beyond the line lies above the point; other edges count
+    up to the line only. Holes and several parts need no special care. An edge
+    owns its lower end only, so a ray through a vertex counts once; points on an
+    outline fall on one side of it by that rule.
     """
-    lon, lat = F.col(lon), F.col(lat)
+    edges, odd, east = (F.col(c) if isinstance(c, str) else c for c in (edges, odd, east))
 
-    def flip(odd: Column, e: Column) -> Column:
+    def flip(found: Column, e: Column) -> Column:
         spans = (e["y0"] > lat) != (e["y1"] > lat)
         # Never evaluated for a level edge, which spans nothing.
         x = (e["x1"] - e["x0"]) * (lat - e["y0"]) / F.nullif(e["y1"] - e["y0"], F.lit(0.0)) + e["x0"]
-        return odd != (spans & F.coalesce(lon < x, F.lit(False)))
+        crossed = spans & F.coalesce(lon < x, F.lit(False))
+        beyond = F.when(e["x1"] > e["x0"], e["y1"]).otherwise(e["y0"]) > lat
+        return found != F.when(e["here"], crossed != beyond).otherwise(crossed & F.coalesce(x <= east, F.lit(False)))
 
-    return F.aggregate(edges, F.lit(False), flip)
+    return F.aggregate(edges, odd, flip)

@@ -6,26 +6,14 @@ default, and the calendar fields of its start and end there.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roost.functions.clock import is_weekend, local_datetime, round_to_bigint, weekday
-from roost.functions.geo import inside_edges, with_wkt_edges
+from roost.operators.cover import MAX_BROADCAST_EDGES, zones_at
 from roost.schemas import CLUSTERED, LOCAL
-from roost.sources.stage import stage
 from roost.sources.tables import scan_tz_lookup
 
-# Polygons are sliced into bands of latitude, so that a stop is tested against
-# the edges at its height only. An outline's edges are short where it is fine,
-# so narrow bands hold few edges and copy few.
-BAND_DEG = 0.02
-
-# Edges that may be broadcast (about 50 bytes each).
-MAX_BROADCAST_EDGES = 2_000_000
-
-# Least number of copies of each band when the polygons are too many to broadcast.
-BAND_COPIES = 32
-
 
 def localize_stops(
     clustered: DataFrame,
@@ -41,11 +29,9 @@ def localize_stops(
     keeps the alphabetically first zone instead.
     """
     stops = whole_seconds(clustered)
-    zoned = with_timezone(stops, scan_tz_lookup(tz_codes, country), max_broadcast_edges)
-    if one_tz == "min":
-        zoned = zoned.groupBy(*stops.columns).agg(F.min("timezone").alias("timezone"))
-    elif one_tz is not None:
+    if one_tz not in (None, "min"):
         raise ValueError("one_tz is None or 'min'")
+    zoned = with_timezone(stops, scan_tz_lookup(tz_codes, country), max_broadcast_edges, one_tz)
     return with_local_fields(zoned, default_tz)
 
 
@@ -59,61 +45,17 @@ def whole_seconds(clustered: DataFrame) -> DataFrame:
 # --- timezone of a position -----------------------------------------------------
 
 
-def timezone_bands(lookup: DataFrame) -> DataFrame:
-    """One row per polygon and latitude band, with the edges that cross the band.
-
-    Malformed or missing geometry yields no row, so it contains nothing.
-    The outlines are staged.
-    """
-    outlines = with_wkt_edges(lookup.withColumnRenamed("tz", "timezone"), "geometry").where("edges IS NOT NULL")
-    # Equal rows are polygons of their own; the numbers are written, so they stay.
-    parsed = stage(outlines.select(F.monotonically_increasing_id().alias("polygon"), "timezone", "edges"), "outlines")
-    sides = parsed.select(
-        "polygon",
-        "timezone",
-        F.array_min(F.transform("edges", lambda e: F.least(e["x0"], e["x1"]))).alias("west"),
-        F.array_max(F.transform("edges", lambda e: F.greatest(e["x0"], e["x1"]))).alias("east"),
-    )
-    # Each edge goes to the bands it crosses: the work is that of the edges, not of edges times bands.
-    edges = parsed.select("polygon", F.explode("edges").alias("e"))
-    crossed = F.sequence(band_of(F.least("e.y0", "e.y1")), band_of(F.greatest("e.y0", "e.y1")))
-    banded = (
-        edges.select("polygon", "e", F.explode(crossed).alias("band"))
-        .groupBy("polygon", "band")
-        .agg(F.collect_list("e").alias("edges"))
-    )
-    return banded.join(sides, "polygon").select("timezone", "band", "west", "east", "edges")
-
-
-def band_of(lat: Column) -> Column:
-    return F.floor((lat + 90.0) / BAND_DEG).cast("int")
-
-
 def with_timezone(
-    stops: DataFrame, lookup: DataFrame, max_broadcast_edges: int = MAX_BROADCAST_EDGES
+    stops: DataFrame,
+    lookup: DataFrame,
+    max_broadcast_edges: int = MAX_BROADCAST_EDGES,
+    one_tz: str | None = None,
 ) -> DataFrame:
-    """Left join to the polygons that contain the stop."""
-    bands = stage(timezone_bands(lookup), "tz-bands")
-    edges = bands.agg(F.sum(F.size("edges"))).first()[0] or 0
-    lat, lon = F.col("stop_latitude"), F.col("stop_longitude")
-    point = stops.withColumn("_band", band_of(lat))
-    inside = (
-        (F.col("_band") == F.col("band"))
-        & lon.between(F.col("west"), F.col("east"))
-        & inside_edges("edges", "stop_longitude", "stop_latitude")
-    )
-    if edges <= max_broadcast_edges:
-        joined = point.join(F.broadcast(bands), inside, "left")
-    else:
-        # A city's band may hold most stops: spread it over copies of the band.
-        partitions = int(stops.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        n = max(BAND_COPIES, partitions // 8)
-        copies = bands.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-        turn = F.pmod(F.xxhash64("uid", "stop_event", "start_timestamp"), F.lit(n))
-        joined = point.withColumn("_turn", turn.cast("int")).join(
-            copies, inside & (F.col("_turn") == F.col("copy")), "left"
-        )
-    return joined.select(*stops.columns, "timezone")
+    """Add the timezone of each polygon that contains the stop, or NULL; ``one_tz="min"``: of the first by name."""
+    turn = F.xxhash64("uid", "stop_event", "start_timestamp")
+    found = zones_at(stops, "stop_latitude", "stop_longitude", lookup, turn, max_broadcast_edges)
+    zone = F.array_min("zones") if one_tz else F.explode_outer("zones")
+    return found.select(*stops.columns, zone.alias("timezone"))
 
 
 # --- calendar fields --------------------------------------------------------------
