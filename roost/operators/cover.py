@@ -152,8 +152,11 @@ def polygon_cover(lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
     fine = crossed_cells(halved.select(*key, *grid, F.explode("edges").alias("e")), F.col("n"), "fine_col", "fine_row")
     fine = fine.groupBy(*key, "west", "size", "fine_col", "fine_row").agg(*edge_lists())
     side = F.col("west") + (F.col("fine_col") + 1) * F.col("size")
-    tops = halved.withColumn("fine_col", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)))
-    started = inside_cell("edges", "odd", "cell_east", side, F.col("south") + CELL_DEG)
+    # Of a cell's many edges only those at its top or its east side bear on its columns' tops.
+    top = F.col("south") + CELL_DEG
+    few = F.filter("edges", lambda e: e["here"] | ((e["y0"] > top) != (e["y1"] > top)))
+    started = inside_cell("few", "odd", "cell_east", side, top)
+    tops = halved.withColumn("few", few).drop("edges").withColumn("fine_col", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)))
     tops = tops.select(
         *key, "west", "size", "fine_col", F.col("n").alias("fine_row"), started.cast("bigint").alias("crossings")
     )
