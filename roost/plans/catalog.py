@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roost import schemas
@@ -505,8 +505,12 @@ def centroids(labelled: DataFrame) -> DataFrame:
 
 
 def deterministic_labels(labelled: DataFrame) -> DataFrame:
-    w = Window.partitionBy("device_id").orderBy("centroid_lat", "centroid_lon")
-    return centroids(labelled).withColumn("cluster_label", F.dense_rank().over(w) - 1)
+    """Centroids ranked across tasks: a device may have very many; equal positions share a label."""
+    found = stage(centroids(labelled), "centroids")
+    at = ["device_id", "centroid_lat", "centroid_lon"]
+    ranks = number_rows(found.select(*at).distinct(), at[:1], at[1:], "position")
+    label = (F.col("position") - 1).cast("int")
+    return found.join(ranks, at).withColumn("cluster_label", label).drop("position")
 
 
 @query("homes", "uid cluster_label unique_days_visited", "visits")
