@@ -116,11 +116,11 @@ def parts_of(cells: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     return cells.groupBy(*keys).agg(F.collect_list(F.struct("timezone", "odd", "east", "edges")).alias("parts"), *more)
 
 
-def polygon_cover(lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
+def polygon_cover(lookup: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(whole cells: col, row, depth, parts; parts of halved cells: col, row, fine_col, fine_row, parts); staged.
 
     ``depth`` tells how often the cell is halved for polygons with many edges
-    there. Malformed or missing geometry covers nothing; equal rows of
+    there; the second table is None if no cell is. Malformed or missing geometry covers nothing; equal rows of
     ``lookup`` are polygons of their own.
     """
     outlines = with_wkt_edges(lookup.withColumnRenamed("tz", "timezone"), "geometry").where("edges IS NOT NULL")
@@ -138,6 +138,8 @@ def polygon_cover(lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
     # A polygon that is halved here has its parts in the other table.
     whole = whole.withColumn("parts", F.filter("parts", lambda p: p["timezone"].isNotNull()))
     whole = stage(whole, "cover-whole")
+    if whole.where("depth > 0").isEmpty():
+        return whole, None
 
     depths = whole.where("depth > 0").select(*CELL, F.col("depth").alias("deep"))
     halved = cells.where("depth > 0").join(depths, CELL).select(
@@ -193,6 +195,14 @@ def zones_at(
     found = with_parts(placed, whole, CELL, turn, max_broadcast_edges).withColumnRenamed("parts", "_whole")
     n = F.expr("shiftleft(1L, depth)")
 
+    def inside(parts: str) -> Column:
+        contains = lambda p: p["edges"].isNull() | inside_cell(p["edges"], p["odd"], p["east"], F.col(lon), F.col(lat))
+        names = F.transform(F.filter(parts, contains), lambda p: p["timezone"])
+        return F.coalesce(names, F.array().cast("array<string>"))
+
+    if fine is None:
+        return found.withColumn("zones", inside("_whole")).drop(*CELL, "depth", "_whole")
+
     def fine_place(value: Column, origin: float, cell: Column) -> Column:
         inside = F.floor((value - (F.lit(origin) + cell * CELL_DEG)) / (size / n))
         return F.when(F.col("depth") > 0, F.greatest(F.least(inside, n - 1), F.lit(0)))
@@ -201,10 +211,4 @@ def zones_at(
         "fine_row", fine_place(F.col(lat), SOUTH, F.col("row"))
     )
     found = with_parts(found, fine, FINE, turn, max_broadcast_edges)
-
-    def inside(parts: str) -> Column:
-        contains = lambda p: p["edges"].isNull() | inside_cell(p["edges"], p["odd"], p["east"], F.col(lon), F.col(lat))
-        names = F.transform(F.filter(parts, contains), lambda p: p["timezone"])
-        return F.coalesce(names, F.array().cast("array<string>"))
-
     return found.withColumn("zones", F.concat(inside("_whole"), inside("parts"))).drop(*FINE, "depth", "_whole", "parts")
