@@ -394,7 +394,7 @@ def join_outlier_refilter(t):
     return joined.where(stops.near_median(STOP))
 
 
-@query("clustered", "device_id stop_events cluster_label", "labelled")
+@query("clustered", "device_id stop_events cluster_label", "told")
 def join_label_back(t):
     raw = stage(raw_labels(t), "raw")
     labels = deterministic_labels(raw).select("device_id", "raw_cluster_label", "cluster_label")
@@ -485,7 +485,7 @@ def agg_stop(t):
 @query(
     "clustered",
     "device_id first_stop centroid_lat centroid_lon cluster_size",
-    "(SELECT *, raw_cluster_label AS first_stop FROM cents)",
+    "(SELECT *, middle[1] AS centroid_lat, middle[2] AS centroid_lon FROM middles)",
 )
 def agg_centroid(t):
     return centroids(raw_labels(t))
@@ -571,7 +571,11 @@ def win_dbscan(t):
     return by_first_stop(raw_labels(t))
 
 
-@query("clustered", "device_id centroid_lat centroid_lon cluster_size cluster_label", "ranks")
+@query(
+    "clustered",
+    "device_id centroid_lat centroid_lon cluster_size cluster_label",
+    "(SELECT *, middle[1] AS centroid_lat, middle[2] AS centroid_lon FROM numbered_middles)",
+)
 def win_dense_rank(t):
     return deterministic_labels(raw_labels(t))
 

@@ -111,27 +111,37 @@ comps_{name} AS MATERIALIZED (
     ON s.device_id = n.device_id AND s.stop_events = n.stop_events)"""
 
 
+# A cluster's label is the place of its mean among the device's sorted means; noise is united at the end.
 CLUSTERED = (
     dbscan(2, "raw")
     + """,
-cents AS MATERIALIZED (
-  SELECT device_id, raw_cluster_label, avg(median_latitude) AS centroid_lat, avg(median_longitude) AS centroid_lon,
-    count(*) AS cluster_size
+middles AS MATERIALIZED (
+  SELECT device_id, raw_cluster_label AS first_stop, count(*) AS cluster_size,
+    [avg(median_latitude), avg(median_longitude)] AS middle
   FROM raw WHERE raw_cluster_label >= 0 GROUP BY ALL),
-ranks AS MATERIALIZED (
-  SELECT *, dense_rank() OVER (PARTITION BY device_id ORDER BY centroid_lat, centroid_lon) - 1 AS cluster_label
-  FROM cents),
-labelled AS (
-  SELECT r.*, coalesce(k.cluster_label, -1) AS cluster_label
-  FROM raw r LEFT JOIN ranks k ON r.device_id = k.device_id AND r.raw_cluster_label = k.raw_cluster_label),
+numbered_middles AS MATERIALIZED (
+  SELECT m.*, list_position(o.sorted, m.middle) - 1 AS cluster_label
+  FROM middles m JOIN (SELECT device_id, list_sort(list(DISTINCT middle)) AS sorted FROM middles GROUP BY device_id) o
+  USING (device_id)),
+members AS MATERIALIZED (
+  SELECT raw.*, m.cluster_label FROM raw
+  JOIN numbered_middles m ON raw.device_id = m.device_id AND raw.raw_cluster_label = m.first_stop),
+places AS (
+  SELECT device_id, cluster_label, count(*) AS cluster_counts,
+    median(median_latitude) AS cluster_latitude, median(median_longitude) AS cluster_longitude
+  FROM members GROUP BY ALL),
+told AS (
+  SELECT * FROM members JOIN places USING (device_id, cluster_label)
+  UNION ALL BY NAME
+  SELECT *, -1 AS cluster_label, 1 AS cluster_counts, median_latitude AS cluster_latitude,
+    median_longitude AS cluster_longitude
+  FROM raw WHERE raw_cluster_label < 0),
 clustered AS MATERIALIZED (
   SELECT device_id AS uid, stop_events AS stop_event, start_timestamp / 1000 AS start_timestamp,
     end_timestamp / 1000 AS end_timestamp, end_timestamp / 1000 - start_timestamp / 1000 AS stop_duration,
-    median_latitude AS stop_latitude, median_longitude AS stop_longitude, cluster_label,
-    CASE WHEN cluster_label = -1 THEN 1 ELSE count(*) OVER w END AS cluster_counts,
-    CASE WHEN cluster_label = -1 THEN median_latitude ELSE quantile_cont(median_latitude, 0.5) OVER w END AS cluster_latitude,
-    CASE WHEN cluster_label = -1 THEN median_longitude ELSE quantile_cont(median_longitude, 0.5) OVER w END AS cluster_longitude
-  FROM labelled WINDOW w AS (PARTITION BY device_id, cluster_label))"""
+    median_latitude AS stop_latitude, median_longitude AS stop_longitude, cluster_label::BIGINT AS cluster_label,
+    cluster_counts::BIGINT AS cluster_counts, cluster_latitude, cluster_longitude
+  FROM told)"""
 )
 
 _ZONE_LIST = "[" + ", ".join(f"'{z}'" for z in ZONES) + "]"
