@@ -14,6 +14,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from roost.operators.density import NOISE, label_pack
 from roost.operators.density_spread import spread_labels
+from roost.operators.selection import middle_values
 from roost.operators.skew import CHUNK_ROWS, by_key, key_sizes, number_rows, split_hot, spread_join
 from roost.params import ClusterParams
 from roost.schemas import CLUSTERED
@@ -202,8 +203,7 @@ def stats_by_device(labelled: DataFrame, extra: list[str] = ()) -> DataFrame:
 def stats_by_join(labelled: DataFrame, extra: list[str], rows_per_chunk: int) -> DataFrame:
     """The same for devices too large for one task: aggregates and joins only.
 
-    Medians are exact: rows are numbered by value across tasks and the middle
-    one or two picked.
+    Medians are exact at any size (``selection``).
     """
     labelled = stage(labelled, "labelled")
     noise = labelled.where(F.col(RAW) == NOISE)
@@ -228,19 +228,9 @@ def stats_by_join(labelled: DataFrame, extra: list[str], rows_per_chunk: int) ->
 
     key = [DEVICE, "cluster_label"]
     sizes = stage(rows.groupBy(*key).agg(F.count("*").alias("n")), "cluster-sizes")
-    stats = sizes
-    for c, name in ((LAT, "cluster_latitude"), (LON, "cluster_longitude")):
-        numbered = number_rows(rows.select(*key, c), key, [c], "position", rows_per_chunk)
-        middle = F.col("position").isin(F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1)
-        # At most two rows per cluster are left, so these joins carry little.
-        median = (
-            spread_join(numbered, sizes, key, ["position"], rows_per_chunk=rows_per_chunk)
-            .where(middle)
-            .groupBy(*key)
-            .agg(F.avg(c).alias(name))
-        )
-        stats = stats.join(median, key)
-    stats = stage(stats, "cluster-stats")
+    medians = middle_values(rows, key, [LAT, LON], observed=False, limit=rows_per_chunk, sizes=sizes)
+    named = medians.withColumnsRenamed({LAT: "cluster_latitude", LON: "cluster_longitude"})
+    stats = stage(sizes.join(named, key), "cluster-stats")
     full = spread_join(rows, stats, key, tie, rows_per_chunk=rows_per_chunk, staged=True)
     return clustered_columns(
         full, F.col("cluster_label"), F.col("n"), F.col("cluster_latitude"), F.col("cluster_longitude"), extra

@@ -40,10 +40,10 @@ def by_key(df: DataFrame, key: str, total: int, rows_per_task: int) -> DataFrame
     return df.repartition(needed, key) if needed > configured else df.repartition(key)
 
 
-def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_hot(df: DataFrame, key: str | list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys).
 
-    ``key`` must not be NULL. Up to MAX_HOT_KEYS, counted here, are broadcast,
+    A NULL key counts as ordinary. Up to MAX_HOT_KEYS, counted here, are broadcast,
     so neither side is shuffled; more are joined by shuffle.
     """
     marks = F.broadcast(hot) if hot.count() <= MAX_HOT_KEYS else hot

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roost.functions.geo import haversine_m
+from roost.operators.selection import middle_of, middle_values
 from roost.operators.skew import (
     CHUNK_ROWS,
     by_key,
@@ -133,23 +134,10 @@ def with_runs(points: DataFrame, keys: list[str], params: StopParams, counts: Co
     )
 
 
-def median_of(c: str) -> Column:
-    """The observed value at the middle rank, the lower of two. Exact; it holds the group's distinct values."""
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {c})")
-
-
 def run_bounds() -> list[Column]:
     return [F.min("timestamp").alias("start_timestamp"), F.max("timestamp").alias("end_timestamp")]
 
 
-def run_summary() -> list[Column]:
-    return [
-        *run_bounds(),
-        median_of("latitude").alias("median_latitude"),
-        median_of("longitude").alias("median_longitude"),
-    ]
-
-
 def lasts(params: StopParams) -> Column:
     return F.col("end_timestamp") - F.col("start_timestamp") >= F.lit(params.min_stop_duration)
 
@@ -178,7 +166,7 @@ def stops_by_device(pings: DataFrame, params: StopParams) -> DataFrame:
         .where(lasts(params) & near_median(params))
         .select(*PING, "event_id")
     )
-    stops = kept.groupBy(DEVICE, F.col("event_id").alias("stop_id")).agg(*run_summary()).where(lasts(params))
+    stops = kept.groupBy(DEVICE, F.col("event_id").alias("stop_id")).agg(*[c.alias(n) for c, n in _window_summary()]).where(lasts(params))
     number = F.row_number().over(Window.partitionBy(DEVICE).orderBy("start_timestamp", "stop_id"))
     return stops.withColumn("stop_events", number.cast("bigint")).select(*STOP_COLUMNS)
 
@@ -187,8 +175,8 @@ def _window_summary() -> list[tuple[Column, str]]:
     return [
         (F.min("timestamp"), "start_timestamp"),
         (F.max("timestamp"), "end_timestamp"),
-        (median_of("latitude"), "median_latitude"),
-        (median_of("longitude"), "median_longitude"),
+        (middle_of("latitude"), "median_latitude"),
+        (middle_of("longitude"), "median_longitude"),
     ]
 
 
@@ -220,38 +208,30 @@ def stops_by_chunk(pings: DataFrame, params: StopParams, rows_per_chunk: int = C
     """The same stops from chunked runs.
 
     A run may cover any number of chunks; its bounds are partial aggregates,
-    its medians come from pings numbered by value across tasks, and its summary
-    travels back to the chunks it covers, so no join key holds more than a
+    its medians come from counts of values, and its summary travels back to the
+    chunks it covers, so no join key holds more than a
     chunk's pings.
     """
     run = [DEVICE, "event_id"]
 
-    def summary(pings: DataFrame) -> DataFrame:
-        bounds = pings.groupBy(*run).agg(*run_bounds(), F.count("*").alias("n")).where(lasts(params))
-        return with_medians(stage(pings, "run-pings"), stage(bounds, "run-bounds"), run, rows_per_chunk)
-
     points = runs_by_chunk(pings, params, rows_per_chunk).where("stationary").select(*PING, "chunk", "event_id")
-    first = summary(points)
+    first = summarise_runs(points, params, rows_per_chunk)
     pieces = points.select(*run, "chunk").distinct().join(first, run)
     kept = points.join(pieces, run + ["chunk"]).where(near_median(params)).select(*PING, "event_id")
-    stops = summary(kept).withColumnRenamed("event_id", "stop_id")
+    stops = summarise_runs(kept, params, rows_per_chunk).withColumnRenamed("event_id", "stop_id")
     return number_rows(
         stops, [DEVICE], ["start_timestamp", "stop_id"], "stop_events", rows_per_chunk
     ).select(*STOP_COLUMNS)
 
 
-def with_medians(points: DataFrame, runs: DataFrame, run: list[str], rows_per_chunk: int) -> DataFrame:
-    """Replace ``n``, the size of each run, by the positions at the middle ranks.
-
-    The wanted rank is part of the join key, so a run of any size is matched once.
-    """
-    out = runs
-    for c in ("latitude", "longitude"):
-        wanted = runs.select(*run, F.floor((F.col("n") + 1) / 2).cast("int").alias("rank"))
-        numbered = number_rows(points.select(*run, c), run, [c], "rank", rows_per_chunk)
-        middle = numbered.withColumn("rank", F.col("rank").cast("int")).join(wanted, [*run, "rank"])
-        out = out.join(middle.select(*run, F.col(c).alias(f"median_{c}")), run)
-    return out.drop("n")
+def summarise_runs(points: DataFrame, params: StopParams, rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
+    """Bounds and median position of the runs that last; a run may hold most of the pings."""
+    run = [DEVICE, "event_id"]
+    points = stage(points.select(*PING, "event_id"), "run-pings")
+    bounds = stage(points.groupBy(*run).agg(*run_bounds(), F.count("*").alias("n")), "run-bounds")
+    medians = middle_values(points, run, ["latitude", "longitude"], limit=rows_per_chunk, sizes=bounds)
+    named = medians.withColumnsRenamed({"latitude": "median_latitude", "longitude": "median_longitude"})
+    return bounds.where(lasts(params)).drop("n").join(named, run)
 
 
 def _neighbour_pings(points: DataFrame) -> DataFrame:

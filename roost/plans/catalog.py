@@ -12,6 +12,7 @@ from roost import schemas
 from roost.functions.clock import local_datetime, round_to_bigint, utc_datetime
 from roost.functions.geo import with_wkt_edges
 from roost.operators import clusters, density_spread, homework, localtime, places, stops
+from roost.operators.selection import middle_values
 from roost.operators.skew import number_rows, spread_join
 from roost.params import ClusterParams, HomeWorkParams, StopParams, params_table
 from roost.plans import oracle
@@ -82,8 +83,7 @@ def run_points(t: Inputs) -> DataFrame:
 
 
 def first_stops(t: Inputs) -> DataFrame:
-    summary = run_points(t).groupBy("device_id", F.col("event_id").alias("stop_id")).agg(*stops.run_summary())
-    return summary.where(stops.lasts(STOP))
+    return stops.summarise_runs(run_points(t), STOP).withColumnRenamed("event_id", "stop_id")
 
 
 def raw_labels(t: Inputs, params: ClusterParams = CLUSTER) -> DataFrame:
@@ -379,8 +379,8 @@ def cte_chain(t):
     return (
         t.pings.transform(stops.ping_runs, STOP)
         .transform(lambda r: r.where("stationary"))
-        .transform(lambda r: r.groupBy("device_id", F.col("event_id").alias("stop_id")).agg(*stops.run_summary()))
-        .transform(lambda s: s.where(stops.lasts(STOP)))
+        .transform(stops.summarise_runs, STOP)
+        .transform(lambda s: s.withColumnRenamed("event_id", "stop_id"))
     )
 
 
@@ -465,7 +465,7 @@ def join_eps_neighbors(t):
       FROM points GROUP BY ALL)""",
 )
 def agg_time_bounds(t):
-    return run_points(t).groupBy("device_id", "event_id").agg(*stops.run_summary()[:2])
+    return run_points(t).groupBy("device_id", "event_id").agg(*stops.run_bounds())
 
 
 @query(
@@ -474,7 +474,7 @@ def agg_time_bounds(t):
     "(SELECT user_id, quantile_disc(value, 0.5) AS median_value FROM events GROUP BY ALL)",
 )
 def agg_approx_median(t):
-    return t.table("events").groupBy("user_id").agg(stops.median_of("value").alias("median_value"))
+    return middle_values(t.table("events"), ["user_id"], ["value"]).withColumnRenamed("value", "median_value")
 
 
 @query("stops", "device_id stop_id start_timestamp end_timestamp median_latitude median_longitude", "first_stops")
