@@ -14,6 +14,7 @@ from roost.operators.places import extract_home_work
 from roost.operators.stops import detect_stops
 from roost.params import ClusterParams, CountryParams, HomeWorkParams, StopParams
 from roost.plans.full_run import run_countries, run_steps
+from roost.plans.together import run_together
 
 __all__ = [
     "ClusterParams",
@@ -27,4 +28,5 @@ __all__ = [
     "localize_stops",
     "run_countries",
     "run_steps",
+    "run_together",
 ]

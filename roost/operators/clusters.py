@@ -57,7 +57,7 @@ def cluster_stops(
     ordinary = stops.where(owned)
     if largest > max_device_stops:
         ordinary, crowded = split_hot(ordinary, DEVICE, hot)
-        labelled = spread_labels(crowded.where(placed_stop()), params.distance, params.min_points, rows_per_chunk)
+        labelled = label_spread(crowded.where(placed_stop()), params, rows_per_chunk)
         unplaced = crowded.where(~placed_stop()).withColumn(RAW, F.lit(NOISE).cast("bigint"))
         parts.append(stats_by_join(labelled.unionByName(unplaced), extra, rows_per_chunk))
     # One shuffle by device serves all windows and the dedup below; left to
@@ -106,32 +106,56 @@ def label_stops(
     if largest <= max_device_stops:
         return label_by_pack(stops, params, total)
     ordinary, crowded = split_hot(stops, DEVICE, hot)
-    return label_by_pack(ordinary, params, total).unionByName(
-        spread_labels(crowded, params.distance, params.min_points, rows_per_chunk)
-    )
+    return label_by_pack(ordinary, params, total).unionByName(label_spread(crowded, params, rows_per_chunk))
+
+
+def label_spread(crowded: DataFrame, params: ClusterParams, rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
+    """Labels of crowded devices. Where the parameters are columns, devices of equal parameters go together.
+
+    Columns hold at most as many different settings as there are configured countries.
+    """
+    if not isinstance(params.distance, Column):
+        return spread_labels(crowded, params.distance, params.min_points, rows_per_chunk)
+    settings = [F.lit(params.distance).alias("eps"), F.lit(params.min_points).alias("least")]
+    out = None
+    for eps, least in crowded.select(*settings).distinct().collect():
+        own = crowded.where((params.distance == eps) & (params.min_points == least))
+        labelled = spread_labels(own, eps, least, rows_per_chunk)
+        out = labelled if out is None else out.unionByName(labelled)
+    return out if out is not None else crowded.withColumn(RAW, F.lit(NOISE).cast("bigint"))
 
 
 def label_by_pack(stops: DataFrame, params: ClusterParams, total: int) -> DataFrame:
     """Add a raw cluster number per device, clustering many devices per Python call.
 
     Stops without a position are noise.
-    A pack is a hash slice of the devices with about PACK_STOPS stops, so the
+    The parameters may be columns that are equal within a device. A pack is a hash slice of the devices with about PACK_STOPS stops, so the
     call overhead does not grow with the number of devices.
     """
     ship_package(stops.sparkSession)
     packs = max(-(-total // PACK_STOPS), stops.sparkSession.sparkContext.defaultParallelism)
     schema = StructType([*stops.schema.fields, StructField(RAW, LongType())])
-    eps_m, min_points = params.distance, params.min_points
+    # Of columns, each device's own values; equal ones share a call.
+    by_device = isinstance(params.distance, Column)
+    settings = {"_eps": params.distance, "_least": params.min_points} if by_device else {}
+    added = ["pack", *settings]
+    eps_m, min_points = (None, None) if by_device else (params.distance, params.min_points)
 
     def label(pdf):
         placed = pdf[[LAT, LON]].notna().all(axis=1).to_numpy()
         labels = np.full(len(pdf), NOISE, dtype=np.int64)
-        if placed.any():
-            labels[placed] = label_pack(pdf[placed], eps_m, min_points)
-        return pdf.drop(columns="pack").assign(**{RAW: labels})
+        if not by_device:
+            if placed.any():
+                labels[placed] = label_pack(pdf[placed], eps_m, min_points)
+        else:
+            for (eps, least), rows in pdf.groupby(["_eps", "_least"]).indices.items():
+                rows = rows[placed[rows]]
+                if len(rows):
+                    labels[rows] = label_pack(pdf.iloc[rows], eps, least)
+        return pdf.drop(columns=added).assign(**{RAW: labels})
 
     return (
-        stops.withColumn("pack", F.pmod(F.xxhash64(DEVICE), F.lit(packs)))
+        stops.withColumns({"pack": F.pmod(F.xxhash64(DEVICE), F.lit(packs)), **settings})
         .groupBy("pack")
         .applyInPandas(label, schema)
     )
