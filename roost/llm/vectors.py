@@ -12,8 +12,8 @@ its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
-from math import acos, ceil, log, pi
+from dataclasses import dataclass, replace
+from math import acos, ceil, log, log2, pi
 
 import numpy as np
 import pyarrow as pa
@@ -25,19 +25,34 @@ from roost.operators.components import connected
 from roost.sources.stage import stage
 
 
+# Bucket numbers are 32-bit integers.
+MAX_BITS = 30
+
+
 @dataclass(frozen=True)
 class VectorParams:
-    """``bits`` per table; as many tables as find a pair at the threshold with probability ``recall``.
+    """As many tables as find a pair at the threshold with probability ``recall``.
 
-    More bits suit larger corpora: buckets halve with each, and tables are added to hold the recall.
+    ``bits`` per table follow the number of different vectors in the largest label
+    unless they are given: ``least_bits``, and one more whenever a bucket would hold more
+    than ``bucket_rows`` of them on average. Tables are added to hold the recall.
     """
 
     threshold: float = 0.98
-    bits: int = 12
+    bits: int | None = None
+    least_bits: int = 12
+    bucket_rows: int = 4
     recall: float = 0.9995
     block_rows: int = 1500
     seed: int = 5
 
+    def fitted(self, largest: int) -> VectorParams:
+        """With ``bits`` for so many vectors in a label."""
+        if self.bits is not None:
+            return self
+        needed = ceil(log2(max(largest, 1) / self.bucket_rows))
+        return replace(self, bits=min(max(self.least_bits, needed), MAX_BITS))
+
     def tables(self) -> int:
         same = (1 - acos(self.threshold) / pi) ** self.bits
         return max(1, ceil(log(1 - self.recall) / log(1 - same)))
@@ -57,6 +72,12 @@ def vector_classes(rows: DataFrame) -> DataFrame:
     )
 
 
+def flat_lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(all elements, first element of each row, length of each row) of lists without nulls."""
+    ends = column.offsets.to_numpy()
+    return column.values.to_numpy(zero_copy_only=False), ends[:-1], np.diff(ends)
+
+
 def bucket_keys(classes: DataFrame, params: VectorParams) -> DataFrame:
     """Adds ``keys``: one bucket number per table. Vectors of each length have hyperplanes of their own."""
     ready_workers(classes.sparkSession)
@@ -66,20 +87,21 @@ def bucket_keys(classes: DataFrame, params: VectorParams) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
-            vectors = [np.asarray(x, dtype=np.float64) for x in batch.column("v").to_pylist()]
-            keys: list[list[int]] = [[]] * len(vectors)
-            lengths = np.array([len(x) for x in vectors])
+            flat, starts, lengths = flat_lists(batch.column("v"))
+            keys = np.zeros((batch.num_rows, tables), dtype=np.int32)
             for d in np.unique(lengths):
                 if d not in planes:
                     planes[d] = np.random.default_rng([params.seed, int(d)]).standard_normal((int(d), tables * bits))
                 at = np.flatnonzero(lengths == d)
+                x = flat[starts[at][:, None] + np.arange(d)]
                 # Scaled to the largest component: projections of huge vectors stay finite.
-                x = np.stack([vectors[i] / np.abs(vectors[i]).max() for i in at])
+                x /= np.abs(x).max(axis=1, keepdims=True)
                 signs = (x @ planes[d] > 0).reshape(len(at), tables, bits)
-                for i, k in zip(at, signs @ powers, strict=True):
-                    keys[i] = k.tolist()
+                keys[at] = signs @ powers
             columns = [batch.column(c) for c in ("cls", "label", "n", "v")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(keys, pa.list_(pa.int32()))], ["cls", "label", "n", "v", "keys"])
+            ends = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * tables)
+            found = pa.ListArray.from_arrays(ends, pa.array(keys.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([*columns, found], ["cls", "label", "n", "v", "keys"])
 
     return classes.select("cls", "label", "n", "v").mapInArrow(
         run, "cls bigint, label string, n bigint, v array<double>, keys array<int>"
@@ -134,43 +156,60 @@ def lowest_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         low = new
 
 
+def groups_of(batch: pa.RecordBatch) -> Iterator[tuple[tuple, dict[str, np.ndarray]]]:
+    """A sorted batch as its groups: what names each, and its rows as arrays; a group may go on in the next batch."""
+    if not batch.num_rows:
+        return
+    labels = batch.column("label")
+    codes = labels.dictionary_encode().indices.to_numpy()
+    numbers = {c: batch.column(c).to_numpy() for c in (*GROUP[1:], "own", "cls", "n")}
+    places = np.stack([codes, *[numbers[c] for c in GROUP[1:]]])
+    cuts = np.flatnonzero((places[:, 1:] != places[:, :-1]).any(axis=0)) + 1
+    vectors, v_starts, v_lengths = flat_lists(batch.column("v"))
+    keys, k_starts, k_lengths = flat_lists(batch.column("keys"))
+    for i, j in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+        part = {c: numbers[c][i:j] for c in ("tab", "low", "high", "own", "cls", "n")}
+        # Lists of a group are of one length and lie side by side.
+        part["v"] = vectors[v_starts[i] : v_starts[j - 1] + v_lengths[j - 1]].reshape(j - i, -1)
+        part["keys"] = keys[k_starts[i] : k_starts[j - 1] + k_lengths[j - 1]].reshape(j - i, -1)
+        yield (labels[int(i)].as_py(), *[int(numbers[c][i]) for c in GROUP[1:]]), part
+
+
 def verified(grouped: DataFrame, params: VectorParams) -> DataFrame:
     """(cls, links, root): what each group adds to a class's links, and a link to the group's smallest."""
     ready_workers(grouped.sparkSession)
     schema = pa.schema([("cls", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
-    def judge(rows: list[dict]) -> pa.RecordBatch | None:
-        x = np.array([r["v"] for r in rows], dtype=np.float64)
-        x /= np.abs(x).max(axis=1, keepdims=True)
-        keys = np.array([r["keys"] for r in rows])
-        own = np.array([r["own"] for r in rows])
-        g = rows[0]
-        a, b, counted = links_in(x, own, g["low"], g["high"], keys, g["tab"], params.threshold)
+    def judge(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch | None:
+        g = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+        if len(g["cls"]) < 2:
+            return None
+        x = g["v"] / np.abs(g["v"]).max(axis=1, keepdims=True)
+        low, high, tab = (int(g[c][0]) for c in ("low", "high", "tab"))
+        a, b, counted = links_in(x, g["own"], low, high, g["keys"], tab, params.threshold)
         if not len(a):
             return None
-        weight = np.array([r["n"] for r in rows], dtype=np.int64)
-        links = np.zeros(len(rows), dtype=np.int64)
-        np.add.at(links, a[counted], weight[b[counted]])
-        np.add.at(links, b[counted], weight[a[counted]])
-        low = lowest_linked(len(rows), a, b)
+        links = np.zeros(len(x), dtype=np.int64)
+        np.add.at(links, a[counted], g["n"][b[counted]])
+        np.add.at(links, b[counted], g["n"][a[counted]])
+        lowest = lowest_linked(len(x), a, b)
         at = np.unique(np.concatenate([a, b]))
-        cls = np.array([r["cls"] for r in rows], dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(cls[at]), pa.array(links[at]), pa.array(cls[low[at]])], schema=schema)
+        made = (g["cls"][at], links[at], g["cls"][lowest[at]])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in made], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        at = None
+        held: list[dict[str, np.ndarray]] = []
+        last = None
         for batch in batches:
-            for row in batch.to_pylist():
-                here = tuple(row[c] for c in GROUP)
-                if here != at and held:
-                    made = judge(held) if len(held) > 1 else None
+            for group, part in groups_of(batch):
+                if group != last and held:
+                    made = judge(held)
                     if made is not None:
                         yield made
                     held = []
-                at = here
-                held.append(row)
-        made = judge(held) if len(held) > 1 else None
+                last = group
+                held.append(part)
+        made = judge(held) if held else None
         if made is not None:
             yield made
 
@@ -184,12 +223,19 @@ def near_vectors(rows: DataFrame, params: VectorParams = VectorParams()) -> Data
     null, empty, zero, or hold null or non-finite components, and those
     without a label, link with nothing and stay. Repeated rows are vectors of
     their own. Null ids count as links of others and never name a component.
+    An empty table gives none.
+
+    ``n_links`` is a lower bound: a pair at the threshold is found with probability
+    ``recall`` and a nearer one more surely; no pair below it is counted. Components
+    miss a link only where no chain of found links takes its place.
     """
     placed = vector_classes(rows)
     classes = stage(
         placed.where("cls IS NOT NULL").groupBy("cls", "label", "v").agg(F.count("*").alias("n"), F.min("vec_id").alias("first")),
         "vector-classes",
     )
+    largest = classes.groupBy("label", F.size("v")).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    params = params.fitted(largest or 0)
     keyed = stage(bucket_keys(classes, params), "vector-keys")
     grouped = (
         blocks(keyed, params)

@@ -82,6 +82,27 @@ def test_vectors(spark):
     assert vectors.near_vectors(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_buckets_grow_in_number_not_in_size(spark):
+    """Twice the different vectors, hardly more than twice the pairs that are compared; the recall holds."""
+    params = vectors.VectorParams(least_bits=6)
+
+    def candidates(n):
+        fitted = params.fitted(n)
+        rows = [(i, v.tolist(), "a") for i, v in enumerate(np.random.default_rng(3).standard_normal((n, 24)))]
+        classes = vectors.vector_classes(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string"))
+        keyed = vectors.bucket_keys(classes.selectExpr("*", "1L AS n"), fitted)
+        sizes = keyed.selectExpr("posexplode(keys) AS (tab, key)").groupBy("tab", "key").count()
+        return sizes.selectExpr("sum(count * (count - 1) / 2)").first()[0]
+
+    small, large = candidates(2000), candidates(4000)
+    assert large <= 2.5 * small
+    for largest in (1, 10**5, 10**9):
+        fitted = params.fitted(largest)
+        same = (1 - np.arccos(0.98) / np.pi) ** fitted.bits
+        assert 1 - (1 - same) ** fitted.tables() >= params.recall
+    assert vectors.VectorParams(bits=9).fitted(10**9).bits == 9
+
+
 # ---- Jaccard ------------------------------------------------------------------------------
 
 
