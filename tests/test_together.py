@@ -75,3 +75,22 @@ def test_keys_come_apart_again(spark):
 def test_an_unknown_country_is_found_before_any_work(spark, root):
     with pytest.raises(KeyError):
         run_together(spark, root, ("CO", "XX"), 2024, config())
+
+
+def test_crowded_clusters_by_column_parameters(spark):
+    from roost import ClusterParams, cluster_stops
+    from roost.params import CountryParams
+    from roost.plans.together import params_by_key
+    from roost.schemas import STOPS
+
+    settings = {"CO": CountryParams("UTC", dbscan=ClusterParams(20.0, 2)), "MX": CountryParams("UTC", dbscan=ClusterParams(60.0, 3))}
+    north = [0, 15, 55, 100, 110, 300, 350, 390]
+    data = [
+        (f"{c}|a", i, i * 3_600_000, i * 3_600_000 + 600_000, 10 + m / 111_194.9, 20.0, i)
+        for c in settings for i, m in enumerate(north, 1)
+    ]
+    stops = spark.createDataFrame(data, STOPS)
+    got = cluster_stops(stops, params_by_key(settings, "device_id").dbscan, max_device_stops=4)
+    for c, p in settings.items():
+        want = cluster_stops(stops.where(country_of("device_id") == c), p.dbscan)
+        assert same_rows(got.where(country_of("uid") == c), want), c
