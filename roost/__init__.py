@@ -7,6 +7,7 @@ chained with ``DataFrame.transform``:
     -> extract_home_work
 """
 
+from roost.operators.carried import detect_stops_after, stops_still_open
 from roost.operators.clusters import cluster_stops
 from roost.operators.homework import classify_home_work
 from roost.operators.localtime import localize_stops
@@ -24,9 +25,11 @@ __all__ = [
     "classify_home_work",
     "cluster_stops",
     "detect_stops",
+    "detect_stops_after",
     "extract_home_work",
     "localize_stops",
     "run_countries",
     "run_steps",
     "run_together",
+    "stops_still_open",
 ]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from roost import schemas
 from roost.functions.clock import local_datetime, round_to_bigint, utc_datetime
 from roost.functions.geo import with_wkt_edges
-from roost.operators import clusters, density_spread, homework, localtime, places, stops
+from roost.operators import carried, clusters, density_spread, homework, localtime, places, stops
 from roost.operators.selection import middle_values
 from roost.operators.skew import number_rows, spread_join
 from roost.params import ClusterParams, HomeWorkParams, StopParams, params_table
@@ -118,6 +118,22 @@ def detect_stops(t):
     return stops.detect_stops(t.pings, STOP)
 
 
+# Three exports that end in the middle of stays, in ms since 1970.
+EXPORT_ENDS = (1_704_900_000_000, 1_705_700_000_000)
+
+
+@query("stops", STOPS, "stops")
+def stops_across_exports(t):
+    """The three exports one after the other; the twin sees one export."""
+    bounds = [F.lit(None), *map(F.lit, EXPORT_ENDS), F.lit(None)]
+    carry, found = None, []
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        inside = F.coalesce(F.col("timestamp") >= low, F.lit(True)) & F.coalesce(F.col("timestamp") < high, F.lit(True))
+        ended, carry = carried.detect_stops_after(t.pings.where(inside), carry, STOP)
+        found.append(ended)
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(carried.stops_still_open(carry, STOP))
+
+
 @query("clustered", CLUSTERED, "clustered")
 def cluster_stops(t):
     return clusters.cluster_stops(t.stops, CLUSTER)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roost.operators.carried import detect_stops_after, stops_still_open
 from roost.operators.clusters import cluster_stops
 from roost.operators.homework import classify_home_work
 from roost.operators.localtime import localize_stops
@@ -27,6 +28,8 @@ def run_steps(
     dedup_keys: tuple[str, ...] = ("uid", "stop_event"),
     config_json: str | None = None,
     database: str | None = None,
+    carried: bool = False,
+    previous: int | None = None,
 ) -> DataFrame:
     """Run the chosen steps and return the last one's table (the labelled stops).
 
@@ -36,6 +39,11 @@ def run_steps(
     localized and the labelled stops get names there: ``<country>_local`` and
     ``<country>_hw``.
 
+    ``carried``: stays go on from the export of the year ``previous`` (None for
+    the first one), and stop numbers with them; what is open at the end of
+    ``year`` counts as it stands. A later year needs this year's carry, and
+    replaces what was open.
+
     Files of stops are by device, each in order; those of clustered and
     labelled stops are in order as a whole.
     """
@@ -47,11 +55,15 @@ def run_steps(
 
     result = None
     if "stops" in steps:
-        stops = detect_stops(tables.scan_pings(spark, root, country, year), params.stops)
+        pings = tables.scan_pings(spark, root, country, year)
         path = f"{root}/stops/{country}/{year}"
+        if carried:
+            stops = carried_stops(spark, pings, root, country, year, previous, params)
+        else:
+            stops = detect_stops(pings, params.stops)
         result = tables.sink_clustered(stops, path, "device_id", "stop_events")
     if "cluster" in steps:
-        stops = tables.scan_stops_all_years(spark, root, country)
+        stops = tables.scan_stops_all_years(spark, root, country, year if carried else None)
         clustered = cluster_stops(stops, params.dbscan, dedup_keys).select(*CLUSTERED.fieldNames())
         path = f"{root}/clustered/{country}"
         result = in_order(clustered, path, "uid", "cluster_label", "start_timestamp")
@@ -71,6 +83,19 @@ def run_steps(
     return tables.scan_hw(spark, root, country) if result is None else result
 
 
+def carried_stops(
+    spark: SparkSession, pings: DataFrame, root: str, country: str, year: int, previous: int | None, params: CountryParams
+) -> DataFrame:
+    """The stops that end in this export; what it leaves open is stored."""
+    if previous is not None and previous >= year:
+        raise ValueError(f"year {previous} does not come before {year}")
+    before = None if previous is None else tables.scan_carry(spark, root, country, previous)
+    stops, carry = detect_stops_after(pings, before, params.stops)
+    carry = tables.sink_parquet(carry, f"{root}/carry/{country}/{year}")
+    tables.sink_parquet(stops_still_open(carry, params.stops), f"{root}/open_stops/{country}/{year}")
+    return stops
+
+
 def in_order(df: DataFrame, path: str, *order: str) -> DataFrame:
     """Store in global order; the step runs once, the sampling reads its staged rows."""
     staged = stage(df, "unsorted")

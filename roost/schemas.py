@@ -34,6 +34,11 @@ PINGS = _columns(
     "device_id string, latitude double, longitude double, timestamp bigint"
 )
 
+CARRY = _columns(
+    "device_id string, latitude double, longitude double, timestamp bigint, "
+    "run_base bigint, stop_base bigint"
+)
+
 STOPS = _columns(
     "device_id string, stop_id bigint, start_timestamp bigint, end_timestamp bigint, "
     "median_latitude double, median_longitude double, stop_events bigint"

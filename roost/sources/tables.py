@@ -3,6 +3,7 @@
     <root>/pings/<country>/<year>/      <root>/clustered/<country>/
     <root>/stops/<country>/<year>/      <root>/local/<country>/
     <root>/tz_codes/                    <root>/hw/<country>/
+    <root>/carry/<country>/<year>/      <root>/open_stops/<country>/<year>/
 """
 
 from __future__ import annotations
@@ -23,14 +24,25 @@ def scan_pings(spark: SparkSession, root: str, country: str, year: int) -> DataF
     return scan(spark, f"{root}/pings/{country}/{year}", schemas.PINGS)
 
 
-def scan_stops_all_years(spark: SparkSession, root: str, country: str) -> DataFrame:
-    """All years' stops of a country, with the year of the export as ``src_year``."""
-    found = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/stops/{country}")
+def scan_stops_all_years(spark: SparkSession, root: str, country: str, open_year: int | None = None) -> DataFrame:
+    """All years' stops of a country, with the year of the export as ``src_year``.
+
+    ``open_year``: with those that the export of that year has left open.
+    """
+    folders = [f"{root}/stops/{country}"]
+    if open_year is not None:
+        folders.append(f"{root}/open_stops/{country}/{open_year}")
+    found = spark.read.option("recursiveFileLookup", "true").parquet(*folders)
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)/[^/]*$", 1).cast("int")
     dated = found.select("*", folder.alias("src_year"))
     return schemas.conform(dated, StructType([*schemas.STOPS.fields, StructField("src_year", IntegerType())]))
 
 
+def scan_carry(spark: SparkSession, root: str, country: str, year: int) -> DataFrame:
+    """What the export of ``year`` has left for the next one."""
+    return scan(spark, f"{root}/carry/{country}/{year}", schemas.CARRY)
+
+
 def scan_clusters(spark: SparkSession, root: str, country: str) -> DataFrame:
     return scan(spark, f"{root}/clustered/{country}", schemas.CLUSTERED)
 
