@@ -29,16 +29,39 @@ from roost.sources.stage import new_path, stage
 
 CHUNK_BYTES = 256 * 1024
 READ_BYTES = 1 << 20
+# Schemes of Spark's addresses, and those that pyarrow knows the same storage by.
+SCHEMES = {
+    "file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "gs": "gs", "gcs": "gs",
+    "s3": "s3", "s3a": "s3", "s3n": "s3", "abfs": "abfs", "abfss": "abfss",
+}
+# Revisits (about 70 bytes each) that may be broadcast, so that no payload is shuffled.
+MAX_BROADCAST_REVISITS = 500_000
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
-def with_first(pages: DataFrame, at_least: int = 0) -> DataFrame:
+def store_address(address: str) -> str:
+    """Spark's address of a folder as pyarrow writes it; a ValueError if archives cannot be stored there.
+
+    An absolute path without a scheme is a folder of the local machine, as in Spark's local mode.
+    """
+    if address.startswith("/"):
+        return f"file://{address}"
+    scheme, colon, rest = address.partition(":")
+    known = SCHEMES.get(scheme.lower())
+    if not colon or known is None or not rest.startswith("/"):
+        raise ValueError(f"archives need an address of one of {', '.join(SCHEMES)} or an absolute path, not {address!r}")
+    # A single slash, as Hadoop prints local addresses, means an empty host.
+    return f"{known}:{rest}" if rest.startswith("//") else f"{known}://{rest}"
+
+
+def with_first(pages: DataFrame, at_least: int = 0, max_broadcast: int = MAX_BROADCAST_REVISITS) -> DataFrame:
     """page_id, url, payload, its length and digest, and ``refers_to``: the page that holds the same payload.
 
     Of equal payloads of at least ``at_least`` bytes the smallest page_id is
     the response, the others refer to it; repeated rows of that page_id are
     responses too. Null ids refer to the smallest that is not null; if there
-    is none, all are responses. A null html counts as empty.
+    is none, all are responses. A null html counts as empty. The list of
+    revisits is stored and counted; up to ``max_broadcast`` rows are broadcast.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
@@ -55,6 +78,9 @@ def with_first(pages: DataFrame, at_least: int = 0) -> DataFrame:
     revisits = ids.where(~F.col("page_id").eqNullSafe(F.col("first"))).select(
         F.col("page_id").alias("_page"), F.col("sha1").alias("_sha1"), F.col("first").alias("refers_to")
     ).distinct()
+    revisits = stage(revisits, "revisits")
+    if revisits.count() <= max_broadcast:
+        revisits = F.broadcast(revisits)
     same = rows["page_id"].eqNullSafe(revisits["_page"]) & (rows["sha1"] == revisits["_sha1"])
     return rows.join(revisits, same, "left").select(*rows.columns, "refers_to")
 
@@ -110,6 +136,7 @@ def header(row: dict) -> bytes:
 
 def write_archives(chunks: DataFrame, folder: str) -> DataFrame:
     """Write one archive per task below ``folder``; returns the stored list (path, n_records)."""
+    folder = store_address(folder)
     ready_workers(chunks.sparkSession)
     names = ("page_id", "url", "refers_to", "n_bytes", "sha1", "chunk", "last")
 
@@ -233,6 +260,7 @@ CHUNK_ARROW = pa.schema(
 
 def read_archives(archives: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES, with_data: bool = True) -> DataFrame:
     """The chunk rows of all listed archives; without data, every payload is still read and digested."""
+    folder = store_address(folder)
     ready_workers(archives.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,10 +290,10 @@ def archive_round_trip(spark: SparkSession, pages: DataFrame, at_least: int = 0)
     (page_id, payload_bytes, payload_digest, record_type, refers_to). A
     response's digest is that of the bytes read; if it is not the stated one,
     the record is damaged and that is an error. A revisit has its response's.
+    An empty table gives no rows. Storage that archives cannot be written to is
+    refused before any work.
     """
-    folder = new_path(spark, "warc")
-    if "://" not in folder and ":/" not in folder:
-        folder = f"file://{folder}"
+    folder = store_address(new_path(spark, "warc"))
     archives = write_archives(chunk_table(with_first(pages, at_least)), folder)
     last = read_archives(archives, folder, with_data=False).where("last")
     digest = F.when(F.col("record_type") == "revisit", F.col("stated_digest")).otherwise(F.col("digest_so_far"))

@@ -251,6 +251,31 @@ def test_mixing_without_sizes(spark):
 # ---- archives -----------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize(
+    "spark_address, arrow_address",
+    [
+        ("/tmp/a", "file:///tmp/a"), ("file:/tmp/a", "file:///tmp/a"), ("file:///tmp/a", "file:///tmp/a"),
+        ("s3a://bucket/a", "s3://bucket/a"), ("s3n://bucket/a", "s3://bucket/a"), ("gs://bucket/a", "gs://bucket/a"),
+        ("abfss://box@store.dfs.core.windows.net/a", "abfss://box@store.dfs.core.windows.net/a"),
+        ("hdfs://name:8020/a", "hdfs://name:8020/a"), ("viewfs://cluster/a", "viewfs://cluster/a"),
+    ],
+)
+def test_storage_addresses(spark_address, arrow_address):
+    assert warc.store_address(spark_address) == arrow_address
+
+
+@pytest.mark.parametrize("address", ["dbfs:/a", "relative/a", "wasb://box/a", "s3a:bucket", ""])
+def test_storage_without_a_writer_is_refused(spark, address):
+    with pytest.raises(ValueError, match="archives need an address"):
+        warc.write_archives(spark.range(0), address)
+
+
+def test_revisits_beyond_a_broadcast(spark):
+    frame = spark.createDataFrame([(i, "u", "abc"[i % 4 : i % 4 + 1]) for i in range(20)] + [(None, "u", "a")], "page_id bigint, url string, html string")
+    few, many = (warc.with_first(frame, max_broadcast=n).select("page_id", "n_bytes", "refers_to") for n in (100, 0))
+    assert Counter(map(tuple, few.collect())) == Counter(map(tuple, many.collect()))
+
+
 def test_archives(spark):
     long = "é" * 400_000 + "x"
     made = [(1, "http://a/\r\nb", "same", "own"), (2, None, "same", "own"), (2, "u", "same", "own"), (3, "u", None, "own")]
