@@ -10,27 +10,40 @@ driver. Adaptive execution splits the joins on a node with very many edges.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roost.sources.ship import ship_package
 from roost.sources.stage import discard, stage
 
 
-def connected(edges: DataFrame, scope: list[str] | None = None) -> DataFrame:
+def connected(edges: DataFrame, scope: list[str] | None = None, finish_edges: int = 0) -> DataFrame:
     """(scope..., node, root): every node that has an edge, and the smallest node it reaches.
 
     ``edges`` has columns u and v and may repeat edges, in either direction;
     rows with a null end are ignored. Nodes are told apart within ``scope``.
+    Once a round begins with at most ``finish_edges`` counted edges, one task
+    finishes them.
     """
     roots, rounds = [], 0
     open_edges = stage(between(edges.where("u IS NOT NULL AND v IS NOT NULL"), scope or []), "edges")
+    left = open_edges.count() if finish_edges else 0
     while rounds == 0 or not open_edges.isEmpty():
+        if finish_edges and left <= finish_edges:
+            roots.append(stage(finished(open_edges, scope or []), "ends"))
+            rounds += 1
+            break
         hooked = ends(open_edges, scope or [])
         roots.append(hooked)
         rounds += 1
         contracted = stage(contract(open_edges, hooked, scope or []), "edges")
         discard(open_edges)
         open_edges = contracted
+        left = open_edges.count() if finish_edges else 0
     discard(open_edges)
     out = roots[0]
     for later in roots[1:]:
@@ -72,6 +85,34 @@ def ends(edges: DataFrame, scope: list[str]) -> DataFrame:
             return here
 
 
+def finished(edges: DataFrame, scope: list[str]) -> DataFrame:
+    """The components of few edges, whose number the caller has checked, in one task."""
+    ship_package(edges.sparkSession)
+    kinds = dict(edges.dtypes)
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in scope), f"node {kinds['u']}", f"root {kinds['u']}"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(batches)
+        if not parts:
+            return
+        pairs = pd.concat(parts, ignore_index=True)
+        sides = [pairs[[*scope, end]].rename(columns={end: "node"}) for end in ("u", "v")]
+        # Sorted by node, so that the smallest number of a component is its smallest node's.
+        nodes = pd.concat(sides).drop_duplicates().sort_values("node", ignore_index=True)
+        numbered = nodes.reset_index(names="_number")
+        u, v = (side.merge(numbered, on=[*scope, "node"], how="left")["_number"].to_numpy() for side in sides)
+        root, before = np.arange(len(nodes)), None
+        while before is None or (root != before).any():
+            before = root.copy()
+            low = np.minimum(root[u], root[v])
+            for end in (root[u], root[v], u, v):
+                np.minimum.at(root, end, low)
+            root = root[root]
+        yield nodes.assign(root=nodes["node"].to_numpy()[root])
+
+    return edges.coalesce(1).mapInPandas(run, schema)
+
+
 def contract(edges: DataFrame, roots: DataFrame, scope: list[str]) -> DataFrame:
     side = roots.select(*scope, "node", "root")
     low = side.select(*scope, F.col("node").alias("u"), F.col("root").alias("low"))

@@ -25,6 +25,9 @@ SITE = [DEVICE, LAT, LON]
 # what is still open then is decided site by site.
 LAST_LEVEL = 30
 
+# Links of cells (a device, two cells) whose components one task may find.
+FINISH_LINKS = 500_000
+
 
 def spread_labels(
     stops: DataFrame, eps_m: float, min_points: int, rows_per_chunk: int = CHUNK_ROWS
@@ -204,7 +207,7 @@ def judge(pending: DataFrame, box: DataFrame, eps_m: float) -> DataFrame:
 
 def connected_cells(cells: DataFrame, links: DataFrame) -> DataFrame:
     """``root``: the smallest cell of each connected component; a cell without links is its own."""
-    roots = connected(links, [DEVICE])
+    roots = connected(links, [DEVICE], finish_edges=FINISH_LINKS)
     return cells.join(roots.withColumnRenamed("node", "cell"), CELL, "left").select(
         *CELL, F.coalesce("root", "cell").alias("root")
     )
