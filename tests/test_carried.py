@@ -90,3 +90,19 @@ def test_a_run_over_two_years(spark, tmp_path):
     assert rows(hw, "stop_event") == [(1,), (2,)]
     with pytest.raises(ValueError):
         run_steps(spark, root, "CO", 2023, carried=True, previous=2024, steps=("stops",))
+
+
+def test_one_shuffle_tells_stops_and_what_stays_open(spark):
+    from roost.operators.carried import stops_and_open
+    from roost.operators.skew import by_key
+
+    pings = spark.createDataFrame(walk(seed=7), PINGS)
+    params = StopParams(distance_threshold=20, min_stop_duration=60_000)
+    told = stops_and_open(by_key(pings, "device_id", 0, 1), params)
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert plan.count("Sort [") == 2
+    want = detect_stops(pings, params)
+    assert same_rows(told.where("is_stop").select(*want.columns), want)
+    lasting = told.where("is_open AND timestamp IS NOT NULL").groupBy("device_id").agg(F.max("timestamp").alias("t"))
+    assert rows(lasting, "device_id", "t") == rows(pings.groupBy("device_id").agg(F.max("timestamp").alias("t")), "device_id", "t")
