@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from conftest import rows, same_rows
+from pyspark.sql import functions as F
 
 from roost import StopParams, detect_stops
 from roost.operators.skew import by_key
@@ -138,3 +139,23 @@ def test_medians_do_not_depend_on_the_plan(spark):
     first = plain.first()
     lats = sorted(p[1] for p in points[:-1])
     assert first["median_latitude"] == lats[(len(lats) - 1) // 2]
+
+
+def test_stops_of_a_device_need_no_aggregate(spark):
+    pings = spark.createDataFrame(walk(seed=3), PINGS)
+    plan = stops_by_device(by_key(pings, "device_id", 0, 1), StopParams())._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
+    assert plan.count("Sort [") == 2
+
+
+def test_events_are_dealt_evenly(spark, tmp_path):
+    from roost.plans.fixture import spread
+
+    path = str(tmp_path / "events")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    events = spark.read.parquet(path)
+    dealt = spread(events, 100)
+    sizes = [n for (n,) in rows(dealt.groupBy(F.spark_partition_id()).count(), "count")]
+    assert len(sizes) == 10 and max(sizes) < 200
+    assert rows(dealt, "id") == rows(events, "id")
+    assert spread(events, 1000) is events
