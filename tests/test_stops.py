@@ -141,6 +141,18 @@ def test_medians_do_not_depend_on_the_plan(spark):
     assert first["median_latitude"] == lats[(len(lats) - 1) // 2]
 
 
+def test_counted_rows_fix_the_number_of_partitions(spark):
+    pings = spark.createDataFrame(walk(seed=3), PINGS)
+
+    def shuffle(total):
+        return by_key(pings, "device_id", total, 100)._jdf.queryExecution().executedPlan().toString()
+
+    # Within the configured partitions too: merged by size, a task's rows grow with the input.
+    assert "hashpartitioning(device_id#" in shuffle(300) and "REPARTITION_BY_NUM" in shuffle(300)
+    assert by_key(pings, "device_id", 1_000, 100).rdd.getNumPartitions() == 10
+    assert "REPARTITION_BY_COL" in shuffle(100)
+
+
 def test_stops_of_a_device_need_no_aggregate(spark):
     pings = spark.createDataFrame(walk(seed=3), PINGS)
     plan = stops_by_device(by_key(pings, "device_id", 0, 1), StopParams())._jdf.queryExecution().executedPlan().toString()
